@@ -38,18 +38,21 @@ def initial_thresholds(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(t["trio"], t["pair"], t["semantic"], t["consolidation"])], THRESHOLDS)
 
 
-def adapt_thresholds(state: DataFrame, stats: DataFrame) -> DataFrame:
-    """Next thresholds from the one-row state and one row of session statistics.
+def adapt_thresholds(state: DataFrame, stats: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Next thresholds from the one-row state and the statistics of a session.
+
+    Several sessions give one row each, named by `keep` columns.
 
     Few merges relax the wide tiers, many tighten the narrow ones; quality moves the consolidation
     interval. Nothing changes on an empty session.
     """
-    # Both sides have one row, so this pairs them.
+    # The state has one row: this only puts it beside every session.
     both = state.withColumn("_k", F.lit(1)).join(stats.withColumn("_k", F.lit(1)), "_k", "left")
     some = F.coalesce(F.col("total_processed"), F.lit(0)) > 0
     few, many = some & (F.col("merge_rate") < 0.3), some & (F.col("merge_rate") > 0.8)
     good, poor = some & (F.col("avg_quality") > 0.9), some & (F.col("avg_quality") < 0.7)
     return both.select(
+        *keep,
         F.when(many, F.least(F.lit(0.85), F.col("trio") + 0.01)).otherwise(F.col("trio")).alias("trio"),
         F.when(few, F.greatest(F.lit(0.60), F.col("pair") - 0.02))
         .when(many, F.least(F.lit(0.80), F.col("pair") + 0.01)).otherwise(F.col("pair")).alias("pair"),

@@ -15,18 +15,20 @@ from murmura.sources.store import SnapshotStore
 
 
 class StreamState:
-    """Folders of a stream: canonical snapshots, threshold snapshots, normalised pains per batch."""
+    """Folders of a stream: canonical snapshots, and per batch its thresholds and normalised pains."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.root = root.rstrip("/")
         self.store = SnapshotStore(spark, f"{self.root}/store", CANONICAL)
-        self.thresholds = SnapshotStore(spark, f"{self.root}/thresholds", THRESHOLDS, partitions=())
         self.spark = spark
 
-    def current_thresholds(self) -> dict:
-        if self.thresholds.version() == 0:
+    def thresholds_before(self, batch_id: int) -> dict:
+        """Thresholds the batches before this one led to; a replay reads the same ones again."""
+        if self.store.version() == 0:
             return dict(K.INITIAL_THRESHOLDS)
-        return thresholds_dict(self.thresholds.read())
+        rows = self.spark.read.parquet(f"{self.root}/thresholds").filter(F.col("batch") < batch_id)
+        last = rows.orderBy(F.desc("batch")).limit(1)
+        return dict(K.INITIAL_THRESHOLDS) if last.isEmpty() else thresholds_dict(last)
 
     def normalized(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/normalized")
@@ -35,17 +37,17 @@ class StreamState:
         """One micro-batch. A replay of a batch that was committed changes nothing."""
         if self.store.applied(batch_id):
             return
-        limits = self.current_thresholds()
+        limits = self.thresholds_before(batch_id)
         before = self.store.read()
         batch = normalize_batch(
             pains, before, f"batch_{batch_id}", day, order, thresholds=limits, **options
         )
         normalized = cut_lineage(batch.normalized)
-        # Each batch has its folder and overwrites it, so a batch that failed half way can run again.
+        # Each batch has its folders and overwrites them, so a batch that failed half way can run again.
         normalized.write.mode("overwrite").parquet(f"{self.root}/normalized/batch={batch_id}")
-        if not self.thresholds.applied(batch_id):
-            state = self.spark.createDataFrame([tuple(limits[c] for c in THRESHOLDS.fieldNames())], THRESHOLDS)
-            self.thresholds.commit(adapt_thresholds(state, session_stats(normalized)), batch_id)
+        state = self.spark.createDataFrame([tuple(limits[c] for c in THRESHOLDS.fieldNames())], THRESHOLDS)
+        adapted = adapt_thresholds(state, session_stats(normalized))
+        adapted.write.mode("overwrite").parquet(f"{self.root}/thresholds/batch={batch_id}")
         # The store commit comes last: it marks the batch as applied.
         self.store.commit(next_store(before, batch), batch_id)
 
