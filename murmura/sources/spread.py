@@ -1,0 +1,15 @@
+"""Input parallelism."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash the rows over the cores if the files have fewer splits than the session has cores.
+
+    A file of one row group is one task, however costly the work on its rows. A large table has more
+    splits than cores and is returned as it is. Hashing by key repeats exactly when a task is retried.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

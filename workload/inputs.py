@@ -14,11 +14,14 @@ from pyspark.sql import functions as F
 
 from murmura import constants as K
 from murmura.functions.text import ascii_only, normalize_text, sentences
+from murmura.sources.spread import spread
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
     "conversations"
 ).split()
+# Tables with costly work per row, and the key their rows are spread by when the file is one split.
+SPREAD = {"documents": "doc_id", "lineitem": "l_orderkey"}
 MAIN_GROUP = "Principal"
 CHANNEL = "PROMO"
 
@@ -31,7 +34,8 @@ class Tables:
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
-            return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            return spread(table, SPREAD[name]) if name in SPREAD else table
         raise AttributeError(name)
 
     @cached_property

@@ -86,7 +86,7 @@ r as (select *, row_number() over (partition by pain_id order by n desc, label)
 b as (select pain_id, max(case when rn = 1 then label end) l1, max(case when rn = 1 then n end) n1, max(case when rn = 2 then n end) n2,
   max(total) total, string_agg(case when rn in (2, 3) then label end, '|' order by rn) alt from r group by 1),
 res as (select p.pain_id, case when l1 is not null {tie} then l1 else 'INCONCLUSIVO' end label,
-  round(case when l1 is not null {tie} then n1 / total else 0 end, 6) conf, coalesce(alt, '') alt from pains p left join b on b.pain_id = p.pain_id)"""
+  round(case when l1 is not null {tie} then n1 / total else 0 end + 1e-9, 6) conf, coalesce(alt, '') alt from pains p left join b on b.pain_id = p.pain_id)"""
 
 
 def _classified(t, label, **options):
@@ -115,7 +115,7 @@ r as (select *, row_number() over (partition by pain_id order by n desc, label)
 b as (select pain_id, max(case when rn = 1 then label end) l1, max(case when rn = 1 then n end) n1, max(case when rn = 2 then n end) n2,
   max(total) total from r group by 1)
 select p.pain_id, familia, case when l1 is not null and not coalesce(n1 = n2, false) then l1 else 'INCONCLUSIVO' end produto,
-round(case when l1 is not null and not coalesce(n1 = n2, false) then n1 / total else 0 end, 6) conf
+round(case when l1 is not null and not coalesce(n1 = n2, false) then n1 / total else 0 end + 1e-9, 6) conf
 from pains p left join b on b.pain_id = p.pain_id""")
 def classify_product(t):
     lex = lexicon(t)
@@ -138,7 +138,7 @@ def classification_stats(t):
 
 @query(f"""with {PAINS_SQL}, k as (select feedback_id, dor_especifica d, contains(d, 'that') or contains(d, 'para') or contains(d, 'und') or contains(d, 'que') kw from pains)
 select feedback_id, count(*) total, count(*) filter (length(d) between 10 and 350 and kw) valid_pains_count,
-round(least(count(*) filter (length(d) between 10 and 350 and kw) / count(*), 1), 6) overall_quality, true is_valid, 0.7e0 confidence_score from k group by 1""")
+round(least(count(*) filter (length(d) between 10 and 350 and kw) / count(*), 1) + 1e-9, 6) overall_quality, true is_valid, 0.7e0 confidence_score from k group by 1""")
 def validate_basic(t):
     return V.validate_basic(t.pains, ("that", "para", "und", "que")).withColumn("overall_quality", r6("overall_quality"))
 
@@ -146,8 +146,8 @@ def validate_basic(t):
 @query(f"""with {EXTRACT_SQL}, w as (select feedback_id, pos, list_distinct({words_sql('dor_especifica')}) pw, list_distinct({words_sql('feedback_text')}) fw from ex),
 g as (select feedback_id, pos, case when len(pw) = 0 then 0 else len(list_intersect(pw, fw)) / len(pw) end coh,
   case when list_has_any(pw, (select list(term) from top)) then 1e0 else 0e0 end rel from w)
-select feedback_id, pos::int pos, round(coh, 6) semantic_coherence, rel domain_relevance, coh >= 0.5 and rel > 0 is_valid,
-round((coh + rel) / 2, 6) confidence_score from g""")
+select feedback_id, pos::int pos, round(coh + 1e-9, 6) semantic_coherence, rel domain_relevance, coh >= 0.5 and rel > 0 is_valid,
+round((coh + rel) / 2 + 1e-9, 6) confidence_score from g""")
 def validate_grounding(t):
     both = extracted(t).join(feedback(t), "feedback_id")
     out = V.validate_grounding(both, lexicon(t).select("term"))
@@ -163,7 +163,7 @@ def validity_filter(t):
     return V.validity_counts(t.pains, "categoria")
 
 
-@query(f"""with {PAINS_SQL} select categoria, count(*) filter (coalesce(is_valid, false)) valid_pains_count, round(avg(confidence_score), 6) avg_confidence
+@query(f"""with {PAINS_SQL} select categoria, count(*) filter (coalesce(is_valid, false)) valid_pains_count, round(avg(confidence_score) + 1e-9, 6) avg_confidence
 from pains group by 1""")
 def validation_summary(t):
     return V.validation_summary(t.pains, "categoria").withColumn("avg_confidence", r6("avg_confidence"))
@@ -199,7 +199,7 @@ def quality(t):
     return R.feedback_quality(rows, pains)
 
 
-@query(f"""with {QUALITY_SQL} select feedback_id, n, "unknown", round(avg_confidence, 6) avg_confidence,
+@query(f"""with {QUALITY_SQL} select feedback_id, n, "unknown", round(avg_confidence + 1e-9, 6) avg_confidence,
 case when n = "unknown" then 'early_exit' when avg_confidence < 0.5 or extraction_confidence < 0.5 then 'enhance_quality' else 'continue_normalization' end route from q""")
 def route_feedback(t):
     return R.route_feedback(quality(t)).select(
@@ -215,7 +215,7 @@ def early_exit_reasons(t):
 
 
 @query(f"""with {EXTRACT_SQL}, per as (select feedback_id, avg(confidence) c from ex group by 1)
-select doc_id::varchar feedback_id, round(coalesce(c, 0), 6) avg_confidence from documents left join per on feedback_id = doc_id::varchar""")
+select doc_id::varchar feedback_id, round(coalesce(c, 0) + 1e-9, 6) avg_confidence from documents left join per on feedback_id = doc_id::varchar""")
 def feedback_confidence(t):
     return ME.feedback_confidence(feedback(t), extracted(t)).withColumn("avg_confidence", r6("avg_confidence"))
 
@@ -242,7 +242,7 @@ def taxonomy(t):
     return L.merge_taxonomies(L.seed_taxonomy(t.spark), emergent)
 
 
-@query(f"with {TAXONOMY_SQL} select categoria, definicao, array_to_string(exemplos, '|') exemplos, round(confidence, 6) confidence from tax")
+@query(f"with {TAXONOMY_SQL} select categoria, definicao, array_to_string(exemplos, '|') exemplos, round(confidence + 1e-9, 6) confidence from tax")
 def taxonomy_merge(t):
     return taxonomy(t).select("categoria", "definicao", joined("exemplos").alias("exemplos"), r6("confidence").alias("confidence"))
 
@@ -255,7 +255,7 @@ def taxonomy_summary(t):
 
 @query(f"""with {PAINS_SQL}, {TOP_SQL}, w as (select unnest(list_distinct({words_sql('dor_especifica')})) term from pains where categoria = 'fr'),
 c as (select term, count(*) n from w where length(term) >= 4 group by 1), k as (select count(*) total from pains where categoria = 'fr')
-select upper(term) categoria, n, round(n / total, 6) confidence from c, k where total >= 50 and n / total > 0.02 and term not in (select term from top)""")
+select upper(term) categoria, n, round(n / total + 1e-9, 6) confidence from c, k where total >= 50 and n / total > 0.02 and term not in (select term from top)""")
 def emergent_terms(t):
     texts = t.pains.filter(F.col("categoria") == "fr")
     return L.emergent_terms(texts, "dor_especifica", lexicon(t), share=0.02).select(
@@ -275,7 +275,7 @@ def _toy_model(texts: list[str]) -> list[dict]:
         words = x.split(" ")
         if len(words) < 2:
             raise ValueError("one word")
-        out.append({"score": round(1.0 / len(words), 6), "prompt_tokens": len(words), "completion_tokens": 1})
+        out.append({"score": round(1.0 / len(words) + 1e-9, 6), "prompt_tokens": len(words), "completion_tokens": 1})
     return out
 
 
@@ -289,7 +289,7 @@ def _scored(t):
 MODEL_SQL = """d as (select distinct dor_especifica from pains), m as (select dor_especifica, len(string_split(dor_especifica, ' ')) n from d)"""
 
 
-@query(f"""with {PAINS_SQL}, {MODEL_SQL} select dor_especifica, case when n > 1 then round(1 / n, 6) end score,
+@query(f"""with {PAINS_SQL}, {MODEL_SQL} select dor_especifica, case when n > 1 then round(1 / n + 1e-9, 6) end score,
 case when n > 1 then n end prompt_tokens, case when n < 2 then 'ValueError: one word' end error from m""")
 def model_scoring(t):
     return _scored(t).select("dor_especifica", "score", "prompt_tokens", "error")

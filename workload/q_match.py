@@ -49,7 +49,7 @@ best as (select * from (select *, row_number() over (partition by pain_id order
 
 
 def _match_sql(tiers, on=""):
-    return f"""with {BASE_SQL}, {_offers_sql(tiers, on)} select x.pain_id, b.id canonical_id, round(b.adj, 6) similarity_score, b.lvl context_level
+    return f"""with {BASE_SQL}, {_offers_sql(tiers, on)} select x.pain_id, b.id canonical_id, round(b.adj + 1e-9, 6) similarity_score, b.lvl context_level
 from pains x left join best b on b.pain_id = x.pain_id"""
 
 
@@ -174,7 +174,7 @@ sm as (select doc_id, i, a, 0.4e0 * (1 - levenshtein(a, b) / greatest(length(a),
     - (len(wb) - list_position(list_reverse(wb), w)) / len(wb)))) end s from sc),
 m as (select doc_id, i, any_value(a) a, round(avg(s), 9) k from sm group by all),
 b as (select *, row_number() over (partition by doc_id order by k desc, i) rn from m)
-select doc_id::varchar id, round(k, 6) medoid_mean, a medoid from b where rn = 1""")
+select doc_id::varchar id, round(k + 1e-9, 6) medoid_mean, a medoid from b where rn = 1""")
 def consolidate_medoid(t):
     out = C.consolidate_medoid(grouped_store(t), "run1", F.lit("2024-06-01"), gate=0.0)
     from murmura.functions import similarity as S
@@ -208,7 +208,7 @@ def batch(t: Tables, **options) -> N.Batch:
     )
 
 
-@query(f"with {_normalize_sql()} select pain_id, canonical_id, round(similarity_score, 6) similarity_score, context_level, normalization_action from norm")
+@query(f"with {_normalize_sql()} select pain_id, canonical_id, round(similarity_score + 1e-9, 6) similarity_score, context_level, normalization_action from norm")
 def normalize_batch(t):
     return batch(t).normalized.select(
         "pain_id", "canonical_id", r6("similarity_score").alias("similarity_score"), "context_level", "normalization_action"
@@ -226,16 +226,16 @@ count(*) filter (context_level in ('trio', 'pair')) / count(*) merge_rate, count
 from norm where canonical_id is not null)"""
 
 
-@query(f"with {_normalize_sql()}, {STATS_SQL} select * replace (round(merge_rate, 6) as merge_rate, round(precision_rate, 6) as precision_rate) from stats")
+@query(f"with {_normalize_sql()}, {STATS_SQL} select * replace (round(merge_rate + 1e-9, 6) as merge_rate, round(precision_rate + 1e-9, 6) as precision_rate) from stats")
 def session_stats(t):
     return LE.session_stats(batch(t).normalized).withColumns({c: r6(c) for c in ("merge_rate", "precision_rate")})
 
 
 @query("""with s as (select l_orderkey % 50 k, count(*) n, count(*) filter (l_linenumber % 4 = 0) tr, count(*) filter (l_linenumber % 4 = 1) pa,
 avg(1 - l_discount) q from lineitem group by 1), r as (select *, (tr + pa) / n mr from s)
-select k, round(case when mr > 0.8 then least(0.85, 0.76) else 0.75 end, 6)::double trio,
-round(case when mr < 0.3 then 0.68 when mr > 0.8 then 0.71 else 0.70 end, 6)::double pair,
-round(case when mr < 0.3 then 0.63 else 0.65 end, 6)::double semantic,
+select k, round(case when mr > 0.8 then least(0.85, 0.76) else 0.75 end + 1e-9, 6)::double trio,
+round(case when mr < 0.3 then 0.68 when mr > 0.8 then 0.71 else 0.70 end + 1e-9, 6)::double pair,
+round(case when mr < 0.3 then 0.63 else 0.65 end + 1e-9, 6)::double semantic,
 case when q > 0.9 then 4 when q < 0.7 then 2 else 3 end::int consolidation from r""")
 def adapt_thresholds(t):
     """Thresholds after one session per order group, each from the first ones."""
@@ -284,25 +284,25 @@ def report_examples(t):
 
 
 @query(f"""with {RESULTS_SQL} select coalesce(sum(total_dores_extraidas), 0)::bigint total_extraidas, coalesce(sum(total_dores_normalizadas), 0)::bigint total_normalizadas,
-round(coalesce(avg(total_dores_extraidas), 0), 6) media_extraidas, round(coalesce(avg(total_dores_normalizadas), 0), 6) media_normalizadas
+round(coalesce(avg(total_dores_extraidas), 0) + 1e-9, 6) media_extraidas, round(coalesce(avg(total_dores_normalizadas), 0) + 1e-9, 6) media_normalizadas
 from results where status = 'success'""")
 def run_totals(t):
     return ME.run_totals(t.results).withColumns({c: r6(c) for c in ("media_extraidas", "media_normalizadas")})
 
 
 @query(f"""with {RESULTS_SQL} select o_orderpriority, count(*) total, count(*) filter (status = 'success') sucessos,
-round(count(*) filter (status = 'success') * 100.0 / count(*), 6)::double taxa_sucesso from results group by 1""")
+round(count(*) filter (status = 'success') * 100.0 / count(*) + 1e-9, 6)::double taxa_sucesso from results group by 1""")
 def run_quality(t):
     return ME.run_quality(t.results, "o_orderpriority").withColumn("taxa_sucesso", r6("taxa_sucesso"))
 
 
-@query(f"""with {BASE_SQL} select categoria, familia, count(*) n, round(avg(confidence_score), 6) avg_confidence, round(avg(usage_count), 6) avg_usage from store group by all""")
+@query(f"""with {BASE_SQL} select categoria, familia, count(*) n, round(avg(confidence_score) + 1e-9, 6) avg_confidence, round(avg(usage_count) + 1e-9, 6) avg_usage from store group by all""")
 def store_distribution(t):
     return ME.store_distribution(t.store).withColumns({c: r6(c) for c in ("avg_confidence", "avg_usage")})
 
 
 @query(f"""with {BASE_SQL} select count(*) total_canonical_pains, count(distinct case when usage_count > 0 then categoria || '/' || familia end) total_contexts,
-round(avg(case when usage_count >= 10 then confidence_score end), 6) avg_pain_quality, round(avg(confidence_score), 6) avg_confidence from store""")
+round(avg(case when usage_count >= 10 then confidence_score end) + 1e-9, 6) avg_pain_quality, round(avg(confidence_score) + 1e-9, 6) avg_confidence from store""")
 def store_contexts(t):
     c = F.col("confidence_score")
     quality = F.struct(c.alias("semantic_coherence"), c.alias("domain_relevance"), c.alias("overall_quality"))
@@ -318,8 +318,8 @@ def store_size(t):
 @query("""with l as (select user_id, case event_type when 'click' then 'cache_hit' when 'view' then 'embedding_call' when 'error' then 'fallback' else 'save' end op, value >= 5 ok from events),
 r as (select user_id, count(*) filter (op = 'cache_hit') h, count(*) filter (op = 'embedding_call') m, count(*) filter (op = 'save') s,
 count(*) filter (op = 'save' and not ok) e, count(*) filter (op = 'fallback') f from l group by 1)
-select user_id, h + m total_similarity_calculations, round(case when h + m = 0 then 0 else h / (h + m) end, 6) cache_hit_rate,
-round((s - e) / greatest(s, 1), 6) success_rate, round(f / greatest(s, 1), 6) fallback_rate from r""")
+select user_id, h + m total_similarity_calculations, round(case when h + m = 0 then 0 else h / (h + m) end + 1e-9, 6) cache_hit_rate,
+round((s - e) / greatest(s, 1) + 1e-9, 6) success_rate, round(f / greatest(s, 1) + 1e-9, 6) fallback_rate from r""")
 def ops_rates(t):
     kind = F.col("event_type")
     op = F.when(kind == "click", "cache_hit").when(kind == "view", "embedding_call").when(kind == "error", "fallback").otherwise("save")
@@ -330,7 +330,7 @@ def ops_rates(t):
 
 
 @query("""with r as (select event_type metric, ts::date::varchar run, avg(round(value * 100)) v from events group by all)
-select metric, run, round(v, 6) "value", round(avg(v) over (partition by metric order by run), 6) trend from r""")
+select metric, run, round(v + 1e-9, 6) "value", round(avg(v) over (partition by metric order by run) + 1e-9, 6) trend from r""")
 def quality_trend(t):
     runs = t.events.groupBy(F.col("event_type").alias("metric"), F.to_date("ts").cast("string").alias("run")).agg(
         F.avg(F.round(F.col("value") * 100)).alias("value")

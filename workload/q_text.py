@@ -52,23 +52,19 @@ sm as (select doc_id, pos, a, b, len(cm) / (len(da) + len(db) - len(cm)) jac,
 
 def neighbours(t):
     """Every sentence of a document with the one after it; pairs come from the row, not from a join."""
-    from murmura.functions.text import ascii_only, sentences
-
-    rows = t.documents.select("doc_id", sentences(F.col("text")).alias("s"))
-    places = F.when(F.size("s") >= 2, F.sequence(F.lit(0), F.size("s") - 2))
-    pairs = rows.select("doc_id", "s", F.explode(places).alias("pos"))
-
-    def clean(i):
-        return ascii_only(X.normalize_text(F.get("s", i)))
-
-    return pairs.select("doc_id", "pos", clean(F.col("pos")).alias("a"), clean(F.col("pos") + 1).alias("b"))
+    rows = t.documents.select(
+        "doc_id", F.transform(X.sentences(F.col("text")), lambda s: X.ascii_only(X.normalize_text(s))).alias("s")
+    )
+    n = F.greatest(F.size("s") - 1, F.lit(0))
+    pairs = F.arrays_zip(F.slice("s", 1, n).alias("a"), F.slice("s", 2, n).alias("b"))
+    return rows.select("doc_id", F.posexplode(pairs).alias("pos", "p")).select("doc_id", "pos", "p.a", "p.b")
 
 
 def _scored(t, score):
     return neighbours(t).select("doc_id", F.col("pos").cast("long").alias("pos"), r6(score(F.col("a"), F.col("b"))).alias("s"))
 
 
-@query(f"with {PAIRS_SQL} select doc_id, pos, round(jac, 6) s from sm")
+@query(f"with {PAIRS_SQL} select doc_id, pos, round(jac + 1e-9, 6) s from sm")
 def sim_jaccard(t):
     return _scored(t, S.jaccard)
 
@@ -78,12 +74,12 @@ def sim_containment(t):
     return _scored(t, S.containment)
 
 
-@query(f"with {PAIRS_SQL} select doc_id, pos, round(ord, 6) s from sm")
+@query(f"with {PAIRS_SQL} select doc_id, pos, round(ord + 1e-9, 6) s from sm")
 def sim_word_order(t):
     return _scored(t, S.word_order)
 
 
-@query(f"with {PAIRS_SQL} select doc_id, pos, round(ed, 6) s from sm")
+@query(f"with {PAIRS_SQL} select doc_id, pos, round(ed + 1e-9, 6) s from sm")
 def sim_edit(t):
     return _scored(t, S.edit_score)
 
@@ -96,12 +92,12 @@ def sim_sequence(t):
 TEXTUAL = "greatest(0e0, least(1e0, 0.4e0 * ed + 0.3e0 * jac + 0.2e0 * cont + 0.1e0 * ord))"
 
 
-@query(f"with {PAIRS_SQL} select doc_id, pos, round({TEXTUAL}, 6) s from sm")
+@query(f"with {PAIRS_SQL} select doc_id, pos, round({TEXTUAL} + 1e-9, 6) s from sm")
 def sim_textual(t):
     return _scored(t, S.textual)
 
 
-@query(f"""with {PAIRS_SQL} select doc_id, pos, round(case when ed between 0.6e0 and 0.8e0 then 0.7e0 * ed + 0.3e0 * {TEXTUAL} else ed end, 6) s,
+@query(f"""with {PAIRS_SQL} select doc_id, pos, round(case when ed between 0.6e0 and 0.8e0 then 0.7e0 * ed + 0.3e0 * {TEXTUAL} else ed end + 1e-9, 6) s,
 case when ed between 0.6e0 and 0.8e0 then 'embedding_plus_llm' else 'embeddings_only' end "method" from sm""")
 def sim_banded(t):
     rows = neighbours(t).withColumn("ed", S.edit_score(F.col("a"), F.col("b")))
@@ -115,7 +111,7 @@ def sim_banded(t):
 
 @query("""select l_orderkey, l_linenumber, round(least(1e0, l_discount * 9e0 * (0.8e0 + 0.2e0 * coalesce(l_tax * 10e0, 1)) *
 case when l_quantity > 5 then 1.05e0 else 1e0 end * case l_returnflag when 'A' then 1e0 when 'N' then 0.95e0 else 0.9e0 end *
-case when l_linestatus = 'O' then 1.02e0 else 1.05e0 end), 6) s from lineitem""")
+case when l_linestatus = 'O' then 1.02e0 else 1.05e0 end) + 1e-9, 6) s from lineitem""")
 def sim_boosted(t):
     tier = F.when(F.col("l_returnflag") == "A", 1.0).when(F.col("l_returnflag") == "N", 0.95).otherwise(0.9)
     method = F.when(F.col("l_linestatus") == "O", "embeddings_only").otherwise("embedding_plus_llm")
@@ -127,7 +123,7 @@ def sim_boosted(t):
 @query("""with e as (select vec_id, label, embedding::double[] v from embeddings),
 u as (select label, unnest(v) x, generate_subscripts(v, 1) i from e),
 m as (select label, list(a order by i) m from (select label, i, avg(x) a from u group by all) group by label)
-select vec_id, e.label, round(greatest(0e0, least(1e0, (list_cosine_similarity(v, m) + 1) / 2)), 6) s from e join m on e.label = m.label""")
+select vec_id, e.label, round(greatest(0e0, least(1e0, (list_cosine_similarity(v, m) + 1) / 2)) + 1e-9, 6) s from e join m on e.label = m.label""")
 def sim_cosine(t):
     """Each vector with the mean vector of its label."""
     means = E.mean_vectors(t.embeddings, "label", "embedding").withColumn("norm_m", S.norm(F.col("mean_vector")))
