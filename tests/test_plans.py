@@ -21,7 +21,12 @@ from murmura.sources import catalog as CAT
 from murmura.sources.store import SnapshotStore
 from murmura.streaming import normalize as ST
 
-DAY = F.lit("2024-06-01").cast("date")
+
+
+def day():
+    return F.lit("2024-06-01").cast("date")
+
+
 PAIN = ("pain_id string, feedback_id string, pos int, dor_especifica string, categoria string, familia string, "
         "produto string, is_valid boolean, confidence_score double")
 
@@ -58,7 +63,7 @@ def pains(spark):
 
 @pytest.mark.parametrize("seq", ["edit", "ratio"])
 def test_normalize_batch(spark, store, pains, seq):
-    b = N.normalize_batch(pains, store, "run1", DAY, sequence=seq)
+    b = N.normalize_batch(pains, store, "run1", day(), sequence=seq)
     got = {r.pain_id: (r.normalization_action, r.context_level) for r in b.normalized.collect()}
     assert got == {
         "a1": ("merged_with_trio", "trio"), "a2": ("merged_with_pair", "pair"), "a3": ("merged_with_semantic", "semantic"),
@@ -84,7 +89,8 @@ def test_pair_below_trio_is_tried_again(spark):
 def test_upsert_is_idempotent(spark, store):
     src = store.filter("id = 'c1'").withColumn("usage_count", F.lit(5).cast("long"))
     once = U.upsert_replace(store, src)
-    assert U.upsert_replace(once, src).exceptAll(once).isEmpty() and once.exceptAll(U.upsert_replace(once, src)).isEmpty()
+    assert U.snapshot_diff(once, U.upsert_replace(once, src)).isEmpty()
+    assert [tuple(r) for r in U.snapshot_diff(store, once).collect()] == [("c1", "update")]
     kept = U.upsert_keep_creation(store, src).filter("id = 'c1'").first()
     assert (kept.usage_count, kept.version) == (5, 2)
 
@@ -99,17 +105,17 @@ def test_snapshot_store(spark, store, tmp_path):
 def test_stream_equals_batches_and_replay_changes_nothing(spark, pains, tmp_path):
     first, second = pains.filter("feedback_id = 'A'"), pains.filter("feedback_id <> 'A'")
     state = ST.StreamState(spark, str(tmp_path / "state"))
-    state.apply(first, 0, DAY, sequence="edit")
-    state.apply(second, 1, DAY, sequence="edit")
+    state.apply(first, 0, day(), sequence="edit")
+    state.apply(second, 1, day(), sequence="edit")
     before = {(r.id, r.usage_count) for r in state.store.read().collect()}
-    state.apply(second, 1, DAY, sequence="edit")
+    state.apply(second, 1, day(), sequence="edit")
     assert {(r.id, r.usage_count) for r in state.store.read().collect()} == before
     assert state.store.version() == 2 and state.thresholds_before(2) != K.INITIAL_THRESHOLDS
     src = tmp_path / "in"
     for df in (first, second):
         df.coalesce(1).write.mode("append").parquet(str(src))
     stream = spark.readStream.schema(pains.schema).option("maxFilesPerTrigger", 1).parquet(str(src))
-    ST.start(stream, str(tmp_path / "run"), DAY, sequence="edit").awaitTermination()
+    ST.start(stream, str(tmp_path / "run"), day(), sequence="edit").awaitTermination()
     streamed = ST.StreamState(spark, str(tmp_path / "run")).store.read()
     assert {(r.id, r.usage_count) for r in streamed.collect()} == before
 
