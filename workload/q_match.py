@@ -172,9 +172,9 @@ sm as (select doc_id, i, a, 0.4e0 * (1 - levenshtein(a, b) / greatest(length(a),
   + 0.2e0 * case when length(a) > length(b) then contains(a, b) else contains(b, a) end::int
   + 0.1e0 * case when len(cm) = 0 then 0 else list_avg(list_transform(cm, lambda w: 1 - abs((len(wa) - list_position(list_reverse(wa), w)) / len(wa)
     - (len(wb) - list_position(list_reverse(wb), w)) / len(wb)))) end s from sc),
-m as (select doc_id, i, any_value(a) a, round(avg(s), 9) k from sm group by all),
+m as (select doc_id, i, any_value(a) a, avg(s) mean_s, round(avg(s), 9) k from sm group by all),
 b as (select *, row_number() over (partition by doc_id order by k desc, i) rn from m)
-select doc_id::varchar id, round(k + 1e-9, 6) medoid_mean, a medoid from b where rn = 1""")
+select doc_id::varchar id, round(mean_s + 1e-9, 6) medoid_mean, a medoid from b where rn = 1""")
 def consolidate_medoid(t):
     out = C.consolidate_medoid(grouped_store(t), "run1", F.lit("2024-06-01"), gate=0.0)
     from murmura.functions import similarity as S
