@@ -15,7 +15,7 @@ id count as one; a null item id is the id "null"; empty tables give no rows or n
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import ahocorasick
 import pyarrow as pa
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from murmura.llm.common import ASCII_LOWER, ASCII_UPPER, with_defaults
+from murmura.llm.common import ASCII_LOWER, ASCII_UPPER
 
 WINDOW = 10
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -89,10 +89,18 @@ def _groups(benchmark: DataFrame, max_bytes: int) -> list[list[tuple[str, list[b
     return [[(r.item_id, words_of(r.text)) for r in items.filter(group == g).toLocalIterator()] for g in range(n)]
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_bytes: int = 16 << 20) -> DataFrame:
-    """doc_id, text, n_words, hits (runs of hit words with their character offsets), items (sorted ids)."""
+def scan(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_bytes: int = 16 << 20, carry: Sequence[str] = ()
+) -> DataFrame:
+    """doc_id, text, n_words, hits (runs of hit words with their character offsets), items (sorted ids).
+
+    `carry` names further columns, given back in the struct `row`.
+    """
+    rest = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.struct(F.lit(None).cast("int").alias("none"))
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), rest.alias("row"))
     schema = T.StructType(
         [
+            rows.schema["row"],
             T.StructField("doc_id", T.LongType()),
             T.StructField("text", T.StringType()),
             T.StructField("n_words", T.LongType()),
@@ -100,10 +108,9 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_bytes:
             T.StructField("items", T.ArrayType(T.StringType())),
         ]
     )
-    arrow = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("n_words", pa.int64())])
     hit_type = pa.list_(pa.struct([(n, pa.int32()) for n in ("word", "words", "start", "end")]))
     out = (
-        with_defaults(docs, doc_id="long", text="string")
+        rows.select("row", "doc_id", "text")
         .withColumn("n_words", F.lit(0).cast("long"))
         .withColumn("hits", F.array().cast(HITS))
         .withColumn("items", F.array().cast("array<string>"))
@@ -132,9 +139,16 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_bytes:
                             had = sorted({*had, *found})
                         hits.append(old)
                         items.append(had)
-                    columns = [batch.column("doc_id"), batch.column("text"), pa.array(counts, pa.int64())]
+                    columns = [batch.column(c) for c in ("row", "doc_id", "text")] + [pa.array(counts, pa.int64())]
                     columns += [pa.array(hits, hit_type), pa.array(items, pa.list_(pa.string()))]
-                    yield pa.RecordBatch.from_arrays(columns, names=[*arrow.names, "hits", "items"])
+                    yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
         out = out.mapInArrow(run, schema)
-    return out
+    return out if carry else out.drop("row")
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows of docs, all columns, without a benchmark window in their text."""
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    clean = scan(docs, benchmark, window, carry=rest).filter(F.size("hits") == 0)
+    return clean.select(*[F.col(c) if c in ("doc_id", "text") else F.col(f"row.`{c}`").alias(c) for c in docs.columns])

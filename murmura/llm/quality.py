@@ -7,7 +7,7 @@ the posterior probability of good is one half or more.
 
 Defined cases: null texts have no words; a text without words gets abstentions only; ties (posterior one half)
 are kept; repeated rows are judged alike and each counts as a vote; an empty table gives an empty table; other
-columns of the input are not carried.
+columns of the input are carried by `kept_documents` only.
 """
 
 from __future__ import annotations
@@ -28,17 +28,26 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
+_UPPER = bytes(range(65, 91))
+_LETTERS = _UPPER + bytes(range(97, 123))
+_WIDE = bytes(range(128, 256))
+_MARKS = bytes(c for c in range(33, 128) if not chr(c).isalnum())
+
 STATS = T.StructType(
-    [T.StructField("doc_id", T.LongType())]
+    [T.StructField("doc_id", T.LongType()), T.StructField("text_hash", T.LongType())]
     + [
         T.StructField(n, T.LongType())
-        for n in ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_upper", "n_letters", "n_top_word")
+        for n in ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_upper", "n_letters", "n_wide", "n_bare", "n_top_word")
     ]
 )
 
 
+def n_bytes(data: bytes, kinds: bytes) -> int:
+    return len(data) - len(data.translate(None, kinds))
+
+
 def text_stats(text: str | None) -> tuple[int, ...]:
-    """The columns of STATS but the id, of one text."""
+    """The counts of STATS of one text."""
     text = text or ""
     words = text.encode("utf-8", "surrogatepass").split()
     n = len(words)
@@ -54,10 +63,12 @@ def text_stats(text: str | None) -> tuple[int, ...]:
             if counts[g] > 1:
                 repeats += i + 3 - max(reach, i)
                 reach = i + 3
-    upper = sum(map(joined.count, (bytes([c]) for c in range(65, 91))))
-    letters = upper + sum(map(joined.count, (bytes([c]) for c in range(97, 123))))
+    upper = n_bytes(joined, _UPPER)
+    letters = n_bytes(joined, _LETTERS)
+    wide = chars - len(joined.translate(None, _WIDE))
+    bare = n - len(b" ".join(words).translate(None, _MARKS).split())
     top = Counter(words).most_common(1)[0][1] if n else 0
-    return n, chars, sum(map(text.count, SYMBOLS)), len(lines), len(lines) - len(set(lines)), repeats, upper, letters, top
+    return n, chars, sum(map(text.count, SYMBOLS)), len(lines), len(lines) - len(set(lines)), repeats, upper, letters, wide, bare, top
 
 
 def stats(docs: DataFrame) -> DataFrame:
@@ -65,10 +76,11 @@ def stats(docs: DataFrame) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> dict[str, list]:
         found = [text_stats(t) for t in batch.column("text").to_pylist()]
-        columns = list(zip(*found)) if found else [()] * (len(STATS) - 1)
-        return {"doc_id": batch.column("doc_id"), **dict(zip(STATS.names[1:], columns))}
+        columns = list(zip(*found)) if found else [()] * (len(STATS) - 2)
+        return {n: batch.column(n) for n in STATS.names[:2]} | dict(zip(STATS.names[2:], columns))
 
-    return map_batches(with_defaults(docs, doc_id="long", text="string"), run, STATS)
+    rows = with_defaults(docs, doc_id="long", text="string")
+    return map_batches(rows.withColumn("text_hash", F.xxhash64("text")), run, STATS)
 
 
 def base_failed() -> Column:
@@ -84,9 +96,12 @@ def rules() -> dict[str, Column]:
         x = F.col(part) / F.greatest(of, F.lit(1))
         return F.when(of < least, None).when(x <= good, 1).when(x >= bad, 0)
 
+    letters = (F.col("n_letters") + F.col("n_wide")) / F.greatest(F.col("word_chars"), F.lit(1))
     mean = F.col("word_chars") / F.greatest(n, F.lit(1))
     return {
         "symbols": share("n_symbols", n, 0.02, 0.1),
+        "letters": F.when(F.col("word_chars") < 20, None).when(letters >= 0.9, 1).when(letters <= 0.8, 0),
+        "bare_marks": share("n_bare", n, 0.02, 0.15, least=10),
         "repeats": share("n_repeat_words", n, 0.15, 0.35, least=10),
         "lines": share("n_dup_lines", "n_lines", 0.1, 0.35, least=4),
         "capitals": share("n_upper", "n_letters", 0.12, 0.4, least=20),
@@ -146,3 +161,10 @@ def judge(docs: DataFrame) -> DataFrame:
     return counted.withColumns({"base_failed": base_failed(), "p_good": p}).withColumn(
         "kept", ~F.col("base_failed") & (F.col("p_good") >= 0.5)
     )
+
+
+def kept_documents(docs: DataFrame) -> DataFrame:
+    """The rows of docs, all columns, that are kept."""
+    kept = judge(docs).filter("kept").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("__hash"))
+    return docs.join(kept, same, "left_semi")

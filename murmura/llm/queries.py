@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmura.llm import decontaminate, packing, quality, sharding, urls
+from murmura.llm import decontaminate, linededup, packing, quality, sharding, simhash, urls, warc
 from murmura.llm.common import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,19 +97,64 @@ URL_RULES = [
 ]
 
 
-def labelled_urls(pages: DataFrame, labels: DataFrame) -> DataFrame:
-    """Urls whose path names a labelled document; block those of poor or toxic ones."""
-    number = F.expr("try_cast(regexp_extract(path, '^/[a-z]+/([0-9]+)', 1) AS bigint)")
-    named = pages.select("url", urls.path_of(F.col("url")).alias("path")).select("url", number.alias("doc_id"))
-    poor = (F.col("quality") == 0) | (F.col("toxic") == 1)
-    return named.join(labels.select("doc_id", poor.alias("block")), "doc_id").select("url", "block")
+#: The small labelled URL table. Hosts and words are made up; none is taken from `pages`.
+LABELLED_URLS = """
+block https://www.casino-royal.example.org/en/12
+block http://lucky-casino.example.net/play
+block https://m.best-casino-win.example.com/fr/8?page=2
+block https://win-big.example.org/de/31
+block https://www.cheap-viagra.example.com/en/7
+block http://pills-online.example.net/es/44
+block https://cheap-meds.example.org/en/5.html
+block https://blog.diet-pills.example.com/fr/91
+block https://spam-links.example.net/en/3
+block http://www.link-farm.example.com/de/60
+block https://seo-spam.example.org/es/18
+block https://content-farm.example.net/en/77#top
+block https://m.free-bets-now.example.com/en/23
+block http://sport-bets.example.org/fr/14
+block https://www.free-money.example.net/en/2
+block https://ads-server.example.com/click
+block http://m.track-ads.example.org/en/41?utm_source=feed
+block https://ad-track.example.net/es/6
+block https://www.adult-chat.example.com/en/9
+block http://adult-video.example.org/de/52
+block https://blog.xxx-adult.example.net/fr/33
+block https://hot-x.example.com/en/70
+allow https://www.gardenclub.example.org/en/12
+allow http://blog.mountains.example.net/play
+allow https://m.citylibrary.example.com/fr/8?page=2
+allow https://thetheatre.example.org/de/31
+allow https://www.weather.example.com/en/7
+allow http://cooking.example.net/es/44
+allow https://history.example.org/en/5.html
+allow https://blog.travelling.example.com/fr/91
+allow https://thenation.example.net/en/3
+allow http://www.university.example.com/de/60
+allow https://science.example.org/es/18
+allow https://m.orchestra.example.net/en/77#top
+allow https://m.railways.example.com/en/23
+allow http://herbarium.example.org/fr/14
+allow https://www.dictionary.example.net/en/2
+allow https://museum.example.com/click
+allow http://m.thelighthouse.example.org/en/41?utm_source=feed
+allow https://astronomy.example.net/es/6
+allow https://www.architect.example.com/en/9
+allow http://football.example.org/de/52
+allow https://blog.knitting.example.net/fr/33
+allow https://botany.example.com/en/70
+"""
+
+
+def labelled_urls(spark: SparkSession) -> DataFrame:
+    lines = F.explode(F.split(F.lit(LABELLED_URLS.strip()), "\n"))
+    pair = F.split(F.col("line"), " ")
+    return spark.range(1).select(lines.alias("line")).select(pair[1].alias("url"), (pair[0] == "block").alias("block"))
 
 
 @_query()
 def op9_url_filters(spark: SparkSession, folder: str) -> DataFrame:
-    pages = _table(spark, folder, "pages")
-    model = urls.train(labelled_urls(pages, _table(spark, folder, "labels")))
-    return urls.judge(pages, URL_RULES, model)
+    return urls.judge(_table(spark, folder, "pages"), URL_RULES, urls.train(labelled_urls(spark)))
 
 
 _LEAK_WORDS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -149,3 +194,67 @@ def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
     )
+
+
+_LINES_SQL = """
+WITH line AS (
+    SELECT doc_id, txt, line_text, n, row_number() OVER (PARTITION BY doc_id, txt ORDER BY pos) AS k
+    FROM (
+        SELECT doc_id, txt, pos, line_text, len(regexp_extract_all(line_text, '[^\\x20\\x09-\\x0D]+')) AS n
+        FROM (
+            SELECT doc_id, txt, unnest(parts) AS line_text, unnest(range(len(parts))) AS pos
+            FROM (SELECT DISTINCT doc_id, coalesce(text, '') AS txt, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
+        )
+    ) WHERE n > 0
+), doc AS (
+    SELECT doc_id, txt, list(line_text ORDER BY k) AS l, list(n ORDER BY k) AS w FROM line GROUP BY ALL
+), start AS (
+    SELECT doc_id, txt, l, w, unnest(range(1, len(l) + 1)) AS i FROM doc
+), win AS (
+    SELECT doc_id, txt, l, w, i, list_position(list_transform(range(i, len(l) + 1), lambda j: list_sum(w[i:j]) >= 50), true) AS n FROM start
+), full_win AS (
+    SELECT doc_id, txt, l, i, n, array_to_string(l[i:i + n - 1], chr(10)) AS body FROM win WHERE n > 0
+), first AS (
+    SELECT body, arg_min({'doc_id': doc_id, 'i': i, 'l': l, 'txt': txt}, (doc_id, i)) AS f, count(*) AS c
+    FROM full_win GROUP BY body HAVING count(*) > 1
+), run AS (
+    SELECT w.doc_id, w.txt, w.i, w.n, list_position(list_transform(range(w.n, greatest(len(w.l) - w.i, 0) + 2),
+        lambda k: coalesce(w.l[w.i + k] <> f.l[f.i + k], true)), true) - 1 AS more
+    FROM full_win w JOIN first USING (body)
+    WHERE w.doc_id <> f.doc_id OR w.txt <> f.txt OR w.i <> f.i
+), gone AS (
+    SELECT doc_id, txt, count(DISTINCT k) AS c FROM (SELECT doc_id, txt, unnest(range(i, i + n + more)) AS k FROM run) GROUP BY ALL
+)
+SELECT d.doc_id, coalesce(c, 0) AS deleted_lines FROM documents d LEFT JOIN gone g ON d.doc_id = g.doc_id AND coalesce(d.text, '') = g.txt
+"""
+
+
+@_query()
+def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return linededup.clean(_table(spark, folder, "documents")).select("doc_id", "text", "deleted_lines")
+
+
+@_query()
+def op5_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.groups(_table(spark, folder, "documents")).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+_WARC_SQL = """
+WITH p AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), k AS (
+    SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) END AS keeper FROM p
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN keeper <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN keeper <> page_id THEN keeper END AS refers_to
+FROM k
+"""
+
+
+@_query(_WARC_SQL)
+def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.read(warc.write(_table(spark, folder, "pages"))).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
