@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmura.llm import decontaminate, linededup, packing, quality, sharding, simhash, urls, warc
+from murmura.llm import decontaminate, linededup, lm, packing, quality, sharding, simhash, urls, warc
 from murmura.llm.common import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,6 +143,18 @@ allow https://www.architect.example.com/en/9
 allow http://football.example.org/de/52
 allow https://blog.knitting.example.net/fr/33
 allow https://botany.example.com/en/70
+allow https://www.mathematics.example.net/en/19
+allow http://blog.hiking.example.org/de/27
+allow https://thearchive.example.net/en/81/
+allow https://m.northernlights.example.org/en/64
+allow http://geology.example.net/es/90?page=2&ref=x
+allow https://www.translation.example.com/fr/15.html
+allow https://blog.therapist.example.org/en/36
+allow https://m.theology.example.net/en/58#top
+allow https://stationery.example.com/de/43
+allow http://www.orchards.example.org/es/29
+allow https://blog.ethnology.example.net/en/62
+allow https://the-other-shore.example.com/en/88
 """
 
 
@@ -258,3 +270,8 @@ def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.read(warc.write(_table(spark, folder, "pages"))).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+@_query()
+def op7_pitman_yor_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.score(_table(spark, folder, "documents"))
