@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmura.llm import decontaminate, linededup, lm, packing, quality, sharding, simhash, urls, warc
+from murmura.llm import decontaminate, html, linededup, lm, packing, quality, sharding, simhash, urls, warc
 from murmura.llm.common import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -275,3 +275,8 @@ def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
 @_query()
 def op7_pitman_yor_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return lm.score(_table(spark, folder, "documents"))
+
+
+@_query()
+def op4_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html.extract(_table(spark, folder, "pages")).select("page_id", "text")
