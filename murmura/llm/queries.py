@@ -209,39 +209,42 @@ def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
 
 
 _LINES_SQL = """
-WITH line AS (
-    SELECT doc_id, txt, line_text, n, row_number() OVER (PARTITION BY doc_id, txt ORDER BY pos) AS k
+WITH piece AS (
+    SELECT doc_id, txt, pos, line_text, len(regexp_extract_all(line_text, '[^\\x20\\x09-\\x0D]+')) AS n
     FROM (
-        SELECT doc_id, txt, pos, line_text, len(regexp_extract_all(line_text, '[^\\x20\\x09-\\x0D]+')) AS n
-        FROM (
-            SELECT doc_id, txt, unnest(parts) AS line_text, unnest(range(len(parts))) AS pos
-            FROM (SELECT DISTINCT doc_id, coalesce(text, '') AS txt, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
-        )
-    ) WHERE n > 0
-), doc AS (
-    SELECT doc_id, txt, list(line_text ORDER BY k) AS l, list(n ORDER BY k) AS w FROM line GROUP BY ALL
+        SELECT doc_id, txt, unnest(parts) AS line_text, unnest(range(len(parts))) AS pos
+        FROM (SELECT DISTINCT doc_id, coalesce(text, '') AS txt, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
+    )
+), line AS (
+    SELECT *, row_number() OVER (PARTITION BY doc_id, txt ORDER BY pos) AS k FROM piece WHERE n > 0
 ), start AS (
-    SELECT doc_id, txt, l, w, unnest(range(1, len(l) + 1)) AS i FROM doc
+    SELECT doc_id, txt, l, w, unnest(range(1, len(l) + 1)) AS i
+    FROM (SELECT doc_id, txt, list(line_text ORDER BY k) AS l, list(n ORDER BY k) AS w FROM line GROUP BY ALL)
 ), win AS (
-    SELECT doc_id, txt, l, w, i, list_position(list_transform(range(i, len(l) + 1), lambda j: list_sum(w[i:j]) >= 50), true) AS n FROM start
+    SELECT doc_id, txt, l, i, list_position(list_transform(range(i, len(l) + 1), lambda j: list_sum(w[i:j]) >= 50), true) AS n FROM start
 ), full_win AS (
     SELECT doc_id, txt, l, i, n, array_to_string(l[i:i + n - 1], chr(10)) AS body FROM win WHERE n > 0
 ), first AS (
-    SELECT body, arg_min({'doc_id': doc_id, 'i': i, 'l': l, 'txt': txt}, (doc_id, i)) AS f, count(*) AS c
-    FROM full_win GROUP BY body HAVING count(*) > 1
+    SELECT body, arg_min({'doc_id': doc_id, 'i': i, 'l': l, 'txt': txt}, (doc_id, i)) AS f FROM full_win GROUP BY body HAVING count(*) > 1
 ), run AS (
-    SELECT w.doc_id, w.txt, w.i, w.n, list_position(list_transform(range(w.n, greatest(len(w.l) - w.i, 0) + 2),
-        lambda k: coalesce(w.l[w.i + k] <> f.l[f.i + k], true)), true) - 1 AS more
-    FROM full_win w JOIN first USING (body)
-    WHERE w.doc_id <> f.doc_id OR w.txt <> f.txt OR w.i <> f.i
+    SELECT f2.doc_id, f2.txt, f2.i, f2.n, list_position(list_transform(range(f2.n, greatest(len(f2.l) - f2.i, 0) + 2),
+        lambda k: coalesce(f2.l[f2.i + k] <> f.l[f.i + k], true)), true) - 1 AS more
+    FROM full_win f2 JOIN first USING (body)
+    WHERE f2.doc_id <> f.doc_id OR f2.txt <> f.txt OR f2.i <> f.i
 ), gone AS (
-    SELECT doc_id, txt, count(DISTINCT k) AS c FROM (SELECT doc_id, txt, unnest(range(i, i + n + more)) AS k FROM run) GROUP BY ALL
+    SELECT DISTINCT doc_id, txt, unnest(range(i, i + n + more)) AS k FROM run
+), cleaned AS (
+    SELECT p.doc_id, p.txt, count(g.k) AS c, bool_or(p.n > 0 AND g.k IS NULL) AS some,
+        string_agg(p.line_text, chr(10) ORDER BY p.pos) FILTER (WHERE g.k IS NULL) AS text
+    FROM piece p LEFT JOIN line l USING (doc_id, txt, pos) LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.txt = l.txt AND g.k = l.k
+    WHERE (p.doc_id, p.txt) IN (SELECT (doc_id, txt) FROM gone) GROUP BY ALL
 )
-SELECT d.doc_id, coalesce(c, 0) AS deleted_lines FROM documents d LEFT JOIN gone g ON d.doc_id = g.doc_id AND coalesce(d.text, '') = g.txt
+SELECT d.doc_id, CASE WHEN c.c IS NULL THEN d.text WHEN c.some THEN c.text ELSE '' END AS text, coalesce(c.c, 0) AS deleted_lines
+FROM documents d LEFT JOIN cleaned c ON d.doc_id = c.doc_id AND coalesce(d.text, '') = c.txt
 """
 
 
-@_query()
+@_query(_LINES_SQL)
 def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return linededup.clean(_table(spark, folder, "documents")).select("doc_id", "text", "deleted_lines")
 
