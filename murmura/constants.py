@@ -4,8 +4,6 @@ from __future__ import annotations
 
 UNKNOWN = "INCONCLUSIVO"
 
-CATEGORIES = ("TECNOLOGIA", "EXPERIENCIA", "NEGOCIO", "COMUNICACAO", "ATENDIMENTO", "MARCA", UNKNOWN)
-SEVERITIES = ("ALTA", "MEDIA", "BAIXA")
 
 # Limits of a pain text and of the pains of one feedback.
 MIN_PAIN_CHARS = 10

@@ -114,11 +114,11 @@ def band_method(score: Column, lo: float = 0.6, hi: float = 0.8) -> Column:
 
 
 def canonical_factor(confidence: Column, usage: Column, popular_tiers: bool = False) -> Column:
-    """Factor of a canonical: its confidence, and 1.05 if used more than 5 times.
+    """Factor of a canonical: its confidence (held to 0..1), and 1.05 if used more than 5 times.
 
     `popular_tiers=True` also gives 1.10 to canonicals used more than 20 times.
     """
-    by_conf = 0.8 + 0.2 * F.coalesce(confidence, F.lit(1.0))
+    by_conf = 0.8 + 0.2 * F.least(F.greatest(F.coalesce(confidence, F.lit(1.0)), F.lit(0.0)), F.lit(1.0))
     used = F.coalesce(usage, F.lit(0))
     by_use = F.when(used > 5, F.lit(1.05)).otherwise(F.lit(1.0))
     if popular_tiers:

@@ -35,10 +35,38 @@ def ascii_only(text: Column) -> Column:
     return F.regexp_replace(text, r"[^ -~]", "?")
 
 
+def piece_pattern(hi: int = K.MAX_PAIN_CHARS) -> str:
+    """The next piece of a long sentence: up to its last clause mark, else the last word end, within `hi`."""
+    return rf"(?s)\S(?:.{{0,{hi - 3}}}[^\s,;:])?[,;:](?:\s|$)|\S(?:.{{0,{hi - 2}}}\S)?(?:\s|$)|\S{{1,{hi}}}"
+
+
 def sentences(text: Column, lo: int = K.MIN_PAIN_CHARS, hi: int = K.MAX_PAIN_CHARS) -> Column:
-    """Sentences of a whole text whose length lies within the bounds of a pain."""
-    parts = F.transform(F.split(text, r"[.!?\n]+"), lambda s: F.trim(s))
-    return F.filter(parts, lambda s: F.length(s).between(lo, hi))
+    """A whole text as sentences of at most `hi` characters; every word is in one of them.
+
+    Longer sentences are cut at clause marks, else at word ends (a word longer than `hi` inside).
+    Pieces under `lo` join the piece before or after them if the bound allows.
+    """
+    parts = F.filter(F.transform(F.split(text, r"[.!?\n]+"), lambda s: F.trim(s)), lambda s: F.length(s) > 0)
+    long = F.lit(piece_pattern(hi))
+    cut = F.flatten(
+        F.transform(
+            parts,
+            lambda s: F.when(F.length(s) <= hi, F.array(s)).otherwise(
+                F.transform(F.regexp_extract_all(s, long, F.lit(0)), lambda x: F.trim(x))
+            ),
+        )
+    )
+
+    def join(done: Column, piece: Column) -> Column:
+        last, n = F.try_element_at(done, F.lit(-1)), F.size(done)
+        small = (F.length(last) < lo) | (F.length(piece) < lo)
+        fits = F.length(last) + 1 + F.length(piece) <= hi
+        return F.when(
+            (n > 0) & small & fits,
+            F.concat(F.slice(done, F.lit(1), n - 1), F.array(F.concat(last, F.lit(" "), piece))),
+        ).otherwise(F.concat(done, F.array(piece)))
+
+    return F.aggregate(cut, F.array().cast("array<string>"), join)
 
 
 def generalize_text(text: Column) -> Column:

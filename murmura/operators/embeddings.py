@@ -5,21 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-TTL_HOURS = 24
-MAX_ENTRIES = 2000
-
 
 def misses(texts: DataFrame, table: DataFrame, key: str = "text_norm") -> DataFrame:
     """Distinct texts the embedding table lacks: each is embedded once."""
     return texts.select(key).distinct().join(table.select(key), key, "left_anti")
 
 
-def with_embeddings(texts: DataFrame, table: DataFrame, key: str = "text_norm") -> DataFrame:
-    return texts.join(table, key, "left")
-
 
 def retention(
-    table: DataFrame, now: Column, ttl_hours: int = TTL_HOURS, max_entries: int = MAX_ENTRIES, key: str = "text_norm"
+    table: DataFrame, now: Column, ttl_hours: int, max_entries: int, key: str = "text_norm"
 ) -> DataFrame:
     """Entries within their age; of a full table the oldest tenth of the capacity is dropped.
 

@@ -46,8 +46,9 @@ def adapt_thresholds(state: DataFrame, stats: DataFrame, keep: tuple[str, ...] =
     Few merges relax the wide tiers, many tighten the narrow ones; quality moves the consolidation
     interval. Nothing changes on an empty session.
     """
-    # The state has one row: this only puts it beside every session.
-    both = state.withColumn("_k", F.lit(1)).join(stats.withColumn("_k", F.lit(1)), "_k", "left")
+    # One row of thresholds, read as a value beside every session; nothing is joined.
+    row = state.agg(F.first(F.struct(*THRESHOLDS.fieldNames()))).scalar()
+    both = stats.withColumn("_state", row).select("*", "_state.*")
     some = F.coalesce(F.col("total_processed"), F.lit(0)) > 0
     few, many = some & (F.col("merge_rate") < 0.3), some & (F.col("merge_rate") > 0.8)
     good, poor = some & (F.col("avg_quality") > 0.9), some & (F.col("avg_quality") < 0.7)

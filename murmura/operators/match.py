@@ -122,7 +122,7 @@ def match(
 ) -> DataFrame:
     """All pains with canonical_id, canonical_text, similarity_score, context_level; NULL where none matched.
 
-    Confidences must lie in 0..1. `sequence`: see `textjoin.similar_pairs`.
+    Confidences are held to 0..1. `sequence`: see `textjoin.similar_pairs`.
     """
     thresholds = thresholds or K.INITIAL_THRESHOLDS
     p = with_context(pains, text)

@@ -121,10 +121,3 @@ def model_usage(scored: DataFrame, *keys: str) -> DataFrame:
         F.coalesce(F.sum(F.col("prompt_tokens") + F.col("completion_tokens")), F.lit(0)).alias("total_tokens"),
         F.count_if(F.col("error").isNotNull()).alias("errors"),
     )
-
-
-def unknown_share(pains: DataFrame) -> DataFrame:
-    """Share of pains whose family is unknown, per category."""
-    return pains.groupBy("categoria").agg(
-        F.avg((F.col("familia") == K.UNKNOWN).cast("double")).alias("unknown_share")
-    )

@@ -57,7 +57,3 @@ def score(
 
     distinct = texts.select(text).filter(F.col(text).isNotNull()).distinct()
     return distinct.mapInPandas(run, out)
-
-
-def with_scores(rows: DataFrame, scored: DataFrame, text: str) -> DataFrame:
-    return rows.join(scored, text, "left")

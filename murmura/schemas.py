@@ -56,16 +56,6 @@ CANONICAL = T.StructType([
     T.StructField("improvement_history", T.ArrayType(IMPROVEMENT)),
 ])
 
-# The reduced form of the store: the columns every version of the table has.
-CANONICAL_REDUCED_COLUMNS = (
-    "id", "canonical_text", "categoria", "familia", "produto", "variants", "creation_date", "usage_count",
-    "created_by_execution", "last_execution_updated", "total_executions_used", "confidence_score",
-    "validation_alerts", "last_updated",
-)
-CANONICAL_REDUCED = T.StructType(
-    [T.StructField(n, CANONICAL[n].dataType, True) for n in CANONICAL_REDUCED_COLUMNS]
-)
-
 # Column defaults of the store, as SQL literals.
 CANONICAL_DEFAULTS = {
     "usage_count": "0L",

@@ -21,6 +21,7 @@ def local_session(app: str = "murmura", cores: str = "*", shuffle_partitions: in
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("MURMURA_DRIVER_MEMORY", "12g"))
+        .config("spark.murmura.spread", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")

@@ -11,7 +11,3 @@ from murmura.schemas import RESULT
 def write(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write result rows as parquet under the declared schema."""
     align(df, RESULT).write.mode(mode).parquet(path)
-
-
-def write_table(df: DataFrame, table: str) -> None:
-    align(df, RESULT).write.mode("overwrite").saveAsTable(table)

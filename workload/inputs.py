@@ -1,7 +1,7 @@
 """Engine inputs derived from the given tables, as DataFrames and as the same derivation in SQL.
 
-Every derivation reads whole tables and whole texts: a pain is any sentence of a document whose
-length lies within the bounds of a pain; the canonical store is made of the documents labelled as
+Every derivation reads whole tables and whole texts: a pain is any sentence of a document (long ones
+in pieces); the canonical store is made of the documents labelled as
 good, the incoming pains of all others.
 """
 
@@ -13,14 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from murmura import constants as K
-from murmura.functions.text import ascii_only, normalize_text, sentences
-from murmura.sources.spread import spread
+from murmura.functions.text import ascii_only, normalize_text, piece_pattern, sentences
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
     "conversations"
 ).split()
-# Tables with costly work per row, and the key their rows are spread by when the file is one split.
+# Test files of one row group are one task, however costly the work on their rows; a session that asks
+# for it (tests, bench) gets these tables dealt by a key. A cluster reads large files as they are.
+SPREAD_CONF = "spark.murmura.spread"
 SPREAD = {"documents": "doc_id", "lineitem": "l_orderkey"}
 MAIN_GROUP = "Principal"
 CHANNEL = "PROMO"
@@ -35,7 +36,8 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
             table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-            return spread(table, SPREAD[name]) if name in SPREAD else table
+            spread = name in SPREAD and self.spark.conf.get(SPREAD_CONF, "false") == "true"
+            return table.repartition(SPREAD[name]) if spread else table
         raise AttributeError(name)
 
     @cached_property
@@ -199,9 +201,18 @@ STAGING_SQL = """staging as (select conv_id || '-' || turn id_feedback, text fee
   c_mktsegment porte_padrao, c_nationkey cod_central, conv_id::varchar num_cpf_cnpj
   from conversations left join customer on c_custkey = conv_id where role = 'user')"""
 
+def pieces_sql(source: str, columns: str) -> str:
+    """Query: `columns` and the list `parts` of the pieces of `text`, as functions.text.sentences cuts them."""
+    return rf"""select {columns}, case when len(cut) = 0 then [] else list_reduce(list_transform(cut, lambda x: [x]), lambda a, b:
+  case when (length(a[-1]) < {K.MIN_PAIN_CHARS} or length(b[1]) < {K.MIN_PAIN_CHARS}) and length(a[-1]) + 1 + length(b[1]) <= {K.MAX_PAIN_CHARS}
+  then list_concat(a[:-2], [a[-1] || ' ' || b[1]]) else list_concat(a, b) end) end parts
+  from (select *, flatten(list_transform(list_filter(list_transform(regexp_split_to_array(text, '[.!?\n]+'), lambda x: trim(x)), lambda x: x <> ''),
+  lambda x: case when length(x) <= {K.MAX_PAIN_CHARS} then [x] else list_transform(regexp_extract_all(x, '{piece_pattern()}'), lambda y: trim(y)) end)) cut
+  from {source})"""
+
+
 SENT_SQL = (
-    r"""sent0 as (select *, list_filter(list_transform(regexp_split_to_array(text, '[.!?\n]+'), lambda x: trim(x)),
-  lambda x: length(x) between 10 and 350) parts from documents),
+    f"sent0 as ({pieces_sql('documents', '*')})," + r"""
 sent1 as (select doc_id, lang, source, n_chars, unnest(parts) raw, generate_subscripts(parts, 1) - 1 pos from sent0),
 sent as (select *, """ + ascii_sql(norm_sql("raw")) + """ txt from sent1),
 ctx as (select *, lang categoria,

@@ -14,7 +14,7 @@ from murmura.operators import metrics as ME
 from murmura.operators import model as MO
 from murmura.operators import route as R
 from murmura.operators import validate as V
-from workload.inputs import PAINS_SQL, SENT_SQL, words_sql
+from workload.inputs import PAINS_SQL, SENT_SQL, pieces_sql, words_sql
 from workload.registry import joined, query, r6
 
 DOC_WORDS_SQL = f"dw as (select doc_id, lang, source, unnest({words_sql('text')}) term from documents)"
@@ -40,16 +40,15 @@ def feedback(t):
 
 
 def extracted(t):
-    """Pains of every document: the sentences with one of the lexicon's words, seven at most."""
+    """Pains of every document: the sentences with one of the lexicon's words."""
     return EX.extract_pains(feedback(t), lexicon(t).select("term"))
 
 
-EXTRACT_SQL = TOP_SQL + r""", s0 as (select doc_id::varchar feedback_id, text feedback_text, list_filter(list_transform(
-  regexp_split_to_array(text, '[.!?\n]+'), lambda x: trim(x)), lambda x: length(x) between 10 and 350) s from documents),
+EXTRACT_SQL = TOP_SQL + f", s0 as (select doc_id::varchar feedback_id, text feedback_text, parts s from ({pieces_sql('documents', '*')}))," + r"""
 s1 as (select feedback_id, feedback_text, unnest(s) dor, generate_subscripts(s, 1) - 1 pos from s0),
 s2 as (select *, len(list_intersect(list_distinct(""" + words_sql("dor") + """), (select list(term) from top)))::int hits from s1),
 s3 as (select *, row_number() over (partition by feedback_id order by hits desc, pos) rn from s2 where hits > 0),
-ex as (select feedback_id, feedback_text, pos, dor dor_especifica, hits, 1 - pow(0.5e0, hits) confidence from s3 where rn <= 7)"""
+ex as (select feedback_id, feedback_text, pos, dor dor_especifica, hits, 1 - pow(0.5e0, hits) confidence from s3)"""
 
 
 @query(f"with {EXTRACT_SQL} select feedback_id, pos::int pos, dor_especifica, hits, confidence, 'MEDIA' severidade from ex")
@@ -207,9 +206,8 @@ def route_feedback(t):
     )
 
 
-@query(f"""with {QUALITY_SQL} select feedback_id, array_to_string(list_filter([case when n = 0 then 'Nenhuma dor extraída do feedback' end,
-case when n = "unknown" then 'Todas as ' || n || ' dores com família inconclusiva' end,
-case when avg_confidence < 0.3 then 'Confiança muito baixa: ' || printf('%.2f', avg_confidence) end], lambda x: x is not null), '|') motivos from q""")
+@query(f"""with {QUALITY_SQL} select feedback_id, array_to_string(list_filter([case when n = 0 then 'no_pains' end,
+case when n = "unknown" and n > 0 then 'all_unknown' end, case when avg_confidence < 0.3 then 'low_confidence' end], lambda x: x is not null), '|') motivos from q""")
 def early_exit_reasons(t):
     return R.early_exit_reasons(quality(t)).select("feedback_id", joined("exit_reasons").alias("motivos"))
 
@@ -253,12 +251,15 @@ def taxonomy_summary(t):
     return L.taxonomy_summary(taxonomy(t))
 
 
-@query(f"""with {PAINS_SQL}, {TOP_SQL}, w as (select unnest(list_distinct({words_sql('dor_especifica')})) term from pains where categoria = 'fr'),
-c as (select term, count(*) n from w where length(term) >= 4 group by 1), k as (select count(*) total from pains where categoria = 'fr')
-select upper(term) categoria, n, round(n / total + 1e-9, 6) confidence from c, k where total >= 50 and n / total > 0.02 and term not in (select term from top)""")
+@query(f"""with {PAINS_SQL}, {TOP_SQL}, {PW_SQL}, {_argmax_sql('label')},
+open as (select p.* from pains p join res r on r.pain_id = p.pain_id where r.label = 'INCONCLUSIVO'),
+w as (select unnest(list_distinct({words_sql('dor_especifica')})) term from open),
+c as (select term, count(*) n from w where length(term) >= 2 group by 1), k as (select count(*) total from open)
+select upper(term) categoria, n, round(n / total + 1e-9, 6) confidence from c, k where total >= 50 and n / total > 0.1 and term not in (select term from top)""")
 def emergent_terms(t):
-    texts = t.pains.filter(F.col("categoria") == "fr")
-    return L.emergent_terms(texts, "dor_especifica", lexicon(t), share=0.02).select(
+    """New categories from all pains that the lexicon leaves open."""
+    open_ = CL.classify(t.pains, "pain_id", "dor_especifica", lexicon(t).select("label", "term"), "x").filter(F.col("x") == K.UNKNOWN)
+    return L.emergent_terms(open_, "dor_especifica", lexicon(t), share=0.1, min_chars=2).select(
         "categoria", "n", r6("confidence").alias("confidence")
     )
 

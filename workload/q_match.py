@@ -221,14 +221,16 @@ def action_counts(t):
 
 
 STATS_SQL = """stats as (select count(*) total_processed, count(*) filter (context_level = 'new') new_created, count(*) filter (context_level = 'trio') trio_matches,
-count(*) filter (context_level = 'pair') pair_matches, count(*) filter (context_level = 'semantic') semantic_matches, 1e0 avg_quality,
+count(*) filter (context_level = 'pair') pair_matches, count(*) filter (context_level = 'semantic') semantic_matches, avg(coalesce(0.9e0 - 0.5e0 * toxic, 1e0)) avg_quality,
 count(*) filter (context_level in ('trio', 'pair')) / count(*) merge_rate, count(*) filter (context_level = 'trio') / count(*) precision_rate
-from norm where canonical_id is not null)"""
+from norm left join labels on labels.doc_id = norm.pain_id[1:9]::bigint where canonical_id is not null)"""
 
 
-@query(f"with {_normalize_sql()}, {STATS_SQL} select * replace (round(merge_rate + 1e-9, 6) as merge_rate, round(precision_rate + 1e-9, 6) as precision_rate) from stats")
+@query(f"with {_normalize_sql()}, {STATS_SQL} select * replace (round(merge_rate + 1e-9, 6) as merge_rate, round(precision_rate + 1e-9, 6) as precision_rate, round(avg_quality + 1e-9, 6) as avg_quality) from stats")
 def session_stats(t):
-    return LE.session_stats(batch(t).normalized).withColumns({c: r6(c) for c in ("merge_rate", "precision_rate")})
+    quality = t.labels.select(F.col("doc_id").cast("string").alias("feedback_id"), (0.9 - 0.5 * F.col("toxic")).alias("overall_quality"))
+    rows = batch(t).normalized.join(quality, "feedback_id", "left")
+    return LE.session_stats(rows).withColumns({c: r6(c) for c in ("merge_rate", "precision_rate", "avg_quality")})
 
 
 @query("""with s as (select l_orderkey % 50 k, count(*) n, count(*) filter (l_linenumber % 4 = 0) tr, count(*) filter (l_linenumber % 4 = 1) pa,
@@ -296,6 +298,11 @@ def run_quality(t):
     return ME.run_quality(t.results, "o_orderpriority").withColumn("taxa_sucesso", r6("taxa_sucesso"))
 
 
+@query(f"""with {BASE_SQL} select categoria || '/' || familia context, count(*) n from store where usage_count > 0 group by 1""")
+def context_distribution(t):
+    return ME.context_distribution(t.store)
+
+
 @query(f"""with {BASE_SQL} select categoria, familia, count(*) n, round(avg(confidence_score) + 1e-9, 6) avg_confidence, round(avg(usage_count) + 1e-9, 6) avg_usage from store group by all""")
 def store_distribution(t):
     return ME.store_distribution(t.store).withColumns({c: r6(c) for c in ("avg_confidence", "avg_usage")})
@@ -350,7 +357,7 @@ select text_norm from r where n < 2000 or rn <= 1800""")
 def embedding_retention(t):
     table = t.events.select(F.col("event_id").cast("string").alias("text_norm"), F.col("ts").alias("embedded_at"))
     now = F.lit("2024-01-30 12:00:00").cast("timestamp_ntz")
-    return E.retention(table, now, ttl_hours=240).select("text_norm")
+    return E.retention(table, now, ttl_hours=240, max_entries=2000).select("text_norm")
 
 
 @query(f"""with {RESULTS_SQL}, src as (select r.*, o_totalprice > 300000 and r.status = 'success' dummy from results r join orders on o_orderkey::varchar = feedback_id),
