@@ -61,14 +61,15 @@ def fingerprint(text: str | None) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long)."""
-    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("fp", T.LongType())])
+    """doc_id, text_hash, fp (the 64 bits as a signed long)."""
+    schema = T.StructType([T.StructField(n, T.LongType()) for n in ("doc_id", "text_hash", "fp")])
 
     def run(batch: pa.RecordBatch) -> dict[str, list]:
         found = np.array([fingerprint(t) for t in batch.column("text").to_pylist()], np.uint64)
-        return {"doc_id": batch.column("doc_id"), "fp": found.view(np.int64)}
+        return {"doc_id": batch.column("doc_id"), "text_hash": batch.column("text_hash"), "fp": found.view(np.int64)}
 
-    return map_batches(with_defaults(docs, doc_id="long", text="string"), run, schema)
+    rows = with_defaults(docs, doc_id="long", text="string").withColumn("text_hash", F.xxhash64("text"))
+    return map_batches(rows, run, schema)
 
 
 def anchors(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -167,18 +168,25 @@ def links(distinct: DataFrame, threshold: int = THRESHOLD, most: int = 50_000) -
 
 
 def groups(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """doc_id, fp and component_id, the smallest doc_id that links lead to."""
+    """doc_id, text_hash, fp, root (a fingerprint that names the component) and component_id, its smallest doc_id."""
     marked = written(fingerprints(docs))
     distinct = written(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
     roots = components(links(distinct, threshold)).select(F.col("a").alias("fp"), F.col("b").alias("root"))
     rooted = distinct.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    of_fp = rooted.select("fp", "root").join(named, "root").select("fp", "component_id")
-    return marked.join(of_fp, "fp").select("doc_id", "fp", "component_id")
+    of_fp = rooted.select("fp", "root").join(named, "root")
+    return marked.join(of_fp, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
 def one_of_each(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """The rows of docs, all columns: of each component the row of the smallest doc_id, once."""
-    kept = groups(docs, threshold).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    found = docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left_semi")
-    return found.dropDuplicates(["doc_id"])
+    """The rows of docs, all columns: of each component the row of the smallest doc_id, once.
+
+    Rows without an id come last; equal ids are told apart by the hash of their text.
+    """
+    doc = F.col("doc_id").cast("long")
+    key = {"__none": doc.isNull(), "__id": F.coalesce(doc, F.lit(0)), "__text": F.xxhash64(F.col("text").cast("string"))}
+    found = groups(docs, threshold).select("root", F.struct(doc.isNull().alias("none"), F.coalesce(doc, F.lit(0)).alias("id"), "text_hash").alias("place"))
+    least = found.groupBy("root").agg(F.min("place").alias("p"))
+    kept = least.select(F.col("p.none").alias("__none"), F.col("p.id").alias("__id"), F.col("p.text_hash").alias("__text"))
+    # The join and the removal of repeated rows share one dealing of the texts.
+    return docs.withColumns(key).join(kept, list(key), "left_semi").dropDuplicates(list(key)).drop(*key)

@@ -103,3 +103,9 @@ def test_one_of_each(make_docs):
     docs = make_docs([text, text.upper(), text, "something else", "something else"], [5, 3, 3, 9, 9])
     kept = simhash.one_of_each(docs)
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [3, 9]
+
+
+def test_rows_without_an_id_are_told_apart_by_their_text(make_docs):
+    docs = make_docs(["alpha beta gamma", "delta epsilon zeta", "alpha beta gamma", "eta theta iota", "eta theta iota"], [None, None, None, 4, None])
+    kept = sorted((r.doc_id is None, r.text) for r in simhash.one_of_each(docs).collect())
+    assert kept == [(False, "eta theta iota"), (True, "alpha beta gamma"), (True, "delta epsilon zeta")]
