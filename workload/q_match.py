@@ -12,6 +12,7 @@ from murmura.operators import embeddings as E
 from murmura.operators import learn as LE
 from murmura.operators import match as M
 from murmura.operators import metrics as ME
+from murmura.operators import within as W
 from murmura.operators.schema_ops import align
 from murmura.plans import normalize as N
 from murmura.plans import report as REP
@@ -103,6 +104,39 @@ def create_canonicals(t):
     return made.select("id", "canonical_text", "categoria", "familia", "produto", "confidence_score", "usage_count")
 
 
+def _merge_sql() -> str:
+    """Links among the new texts of a batch on an empty store: all pairs, then the best earlier one, then chains."""
+    floor = M.score_floor(K.INITIAL_THRESHOLDS)
+    scores = pair_scores_sql(floor).replace("dor_especifica t from pains", "dor_especifica t from made")
+    scores = scores.replace("canonical_text t from store where coalesce(is_active, true)", "dor_especifica t from made")
+    arms = []
+    for no, name, factor in K.TIERS:
+        same = {1: "x.familia = y.familia and x.produto = y.produto and x.familia <> 'INCONCLUSIVO'",
+                2: "x.familia = y.familia and x.familia <> 'INCONCLUSIVO'", 3: "true"}[no]
+        adj = f"least(q.s * (0.8e0 + 0.2e0 * y.confidence_score) * {factor}e0, 1e0)"
+        arms.append(
+            f"select x.categoria, x.dor_especifica node, y.dor_especifica parent, y.pain_id made_at, {no} tier, '{name}' lvl, {adj} adj "
+            f"from pairs q join made x on x.categoria = q.categoria and x.dor_especifica = q.p join made y on y.categoria = q.categoria and y.dor_especifica = q.c "
+            f"where q.p <> q.c and x.pain_id > y.pain_id and {same} and {adj} >= {K.INITIAL_THRESHOLDS[name]}e0"
+        )
+    return f"""with recursive {BASE_SQL}, {CREATED_SQL}, {scores},
+link as (select * from (select *, row_number() over (partition by categoria, node order by tier, adj desc, made_at) rn from ({' union all '.join(arms)})) where rn = 1),
+up as (select categoria, node, parent from link union all select u.categoria, u.node, l.parent from up u join link l on l.categoria = u.categoria and l.node = u.parent)
+select u.categoria, u.node dor_especifica, u.parent root, l.lvl context_level, round(l.adj + 1e-9, 6) similarity_score
+from up u join link l on l.categoria = u.categoria and l.node = u.node
+where not exists (select 1 from link e where e.categoria = u.categoria and e.node = u.parent)"""
+
+
+@query(_merge_sql())
+def batch_merge(t):
+    """Where the new texts of a batch go that are similar to an earlier one, on an empty store."""
+    made = C.create_canonicals(t.pains, "pain_id", "run1", F.lit("2024-06-01").cast("date"))
+    return W.follow(W.pointers(made, K.INITIAL_THRESHOLDS)).select(
+        "categoria", F.col(M.NORM).alias("dor_especifica"), F.col("parent").alias("root"), "context_level",
+        r6("similarity_score").alias("similarity_score"),
+    )
+
+
 USES_SQL = """uses as (select p.pain_id, p.dor_especifica || ' #' || (length(p.dor_especifica) % 7) txt, f.id canonical_id from pains p
   join (select categoria, familia, min(id) id from store group by all) f on f.categoria = p.categoria and f.familia = p.familia)"""
 
