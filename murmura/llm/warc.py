@@ -6,8 +6,8 @@ finds the central directory (also its ZIP64 form), finds the stored members and
 record's range alone.
 
 Files are opened through pyarrow's file systems, so the folder is any URI those know (a shared mount, HDFS,
-object stores). A task writes under a name of its own and renames at the end, so a repeated task leaves whole
-files only.
+object stores). Every attempt of a task writes under names of its own, whole files only; the table of archives
+lists those of the attempts that Spark accepted, so a repeated or speculative task neither doubles nor loses rows.
 
 Defined cases: a null payload is empty; null urls stay null; records repeated with one id are each written;
 payloads are equal if length and SHA-1 are; an empty table gives no archives and no records; other columns of
@@ -139,12 +139,12 @@ def write(pages: DataFrame, folder: str | None = None, most: int = 64 << 20) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, top = _file_system(folder)
         system.create_dir(top, recursive=True)
-        part = TaskContext.get().partitionId()
+        part, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex
         rows = (row for batch in batches for at in range(0, batch.num_rows, 100) for row in batch.slice(at, 100).to_pylist())
         row, number = next(rows, None), 0
         while row is not None:
-            name = f"part-{part:05d}-{number:05d}.wacz"
-            draft = f"{top}/.{name}.{uuid.uuid4().hex}"
+            name = f"part-{part:05d}-{number:05d}-{attempt}.wacz"
+            draft = f"{top}/.{name}"
             with system.open_output_stream(draft) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_STORED) as z:
                 index, at = [], 0
                 with z.open(zipfile.ZipInfo(DATA), "w", force_zip64=True) as member:
