@@ -252,7 +252,8 @@ results as (select o_orderkey::varchar feedback_id, o_orderpriority,
 
 
 def pair_scores_sql(floor: float, on: str = "") -> str:
-    """All scored pairs (categoria, p, c, s) of distinct texts that reach the floor, by brute force.
+    """All scored pairs (categoria, p, c, s) of distinct texts that reach the floor, by brute force. All pairs
+    pass through; none is kept in memory.
 
     `on`: further columns both sides must share.
     """
@@ -263,13 +264,13 @@ def pair_scores_sql(floor: float, on: str = "") -> str:
 ct as (select distinct {cols}, canonical_text t from store where coalesce(is_active, true)),
 pw as (select *, string_split(t, ' ') w, list_distinct(string_split(t, ' ')) d, length(t) l from pt),
 cw as (select *, string_split(t, ' ') w, list_distinct(string_split(t, ' ')) d, length(t) l from ct),
-j0 as (select {keep}, a.t p, b.t c, a.w wa, b.w wb, a.d da, b.d db, a.l la, b.l lb,
+j0 as not materialized (select {keep}, a.t p, b.t c, a.w wa, b.w wb, a.d da, b.d db, a.l la, b.l lb,
   case when a.l > b.l then contains(a.t, b.t) else contains(b.t, a.t) end cont
   from pw a join cw b on {same}
   where least(a.l, b.l) >= 0.7 * greatest(a.l, b.l)
      or case when a.l > b.l then contains(a.t, b.t) else contains(b.t, a.t) end),
-j1 as (select *, len(list_intersect(da, db)) k, len(da) + len(db) nn from j0),
-j2 as (select *, k / (nn - k) jac, list_intersect(da, db) cm from j1
+j1 as not materialized (select *, len(list_intersect(da, db)) k, len(da) + len(db) nn from j0),
+j2 as not materialized (select *, k / (nn - k) jac, list_intersect(da, db) cm from j1
   where 0.3 * k / (nn - k) + 0.2 * cont::int + 0.1 + 0.4 * least(la, lb) / greatest(la, lb) >= {floor} - 1e-6),
 pairs as (select * from (select {cols}, p, c, case when p = c then 1e0 else
   0.4e0 * (1 - levenshtein(p, c) / greatest(la, lb)) + 0.3e0 * jac + 0.2e0 * cont::int
