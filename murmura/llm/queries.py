@@ -155,6 +155,18 @@ allow https://stationery.example.com/de/43
 allow http://www.orchards.example.org/es/29
 allow https://blog.ethnology.example.net/en/62
 allow https://the-other-shore.example.com/en/88
+allow https://what-next.example.net/en/17
+allow https://hat-maker.example.org/fr/42
+allow https://thatched-roofs.example.com/de/11
+allow http://www.athletics.example.net/es/26
+allow https://southern-coast.example.org/en/73
+allow https://blog.mathematician.example.com/en/39?page=3
+allow https://path-finder.example.net/play
+allow https://m.birthday.example.org/en/14.html
+allow https://smith-and-sons.example.net/fr/65
+allow https://www.health-centre.example.com/de/8
+allow https://nothing-else.example.org/es/57
+allow http://blog.stationmaster.example.net/en/24
 """
 
 
