@@ -100,6 +100,26 @@ def test_snapshot_store(spark, store, tmp_path):
     assert s.version() == 0 and s.read().isEmpty()
     s.commit(store, 7)
     assert s.version() == 1 and s.applied(7) and not s.applied(8) and s.read().count() == 3
+    assert not s.applied(7, "another stream")
+
+
+def test_only_touched_contexts_are_written(spark, tmp_path):
+    rows = canonicals(spark, [
+        ("a", "app trava", "T", "f", "p", 1.0, 1), ("b", "taxa alta", "N", "f", "p", 1.0, 1), ("c", "sem nada", "", "g", "p", 1.0, 1)])
+    s = SnapshotStore(spark, str(tmp_path / "s"))
+    s.commit_changes(rows, 0)
+    new = canonicals(spark, [("d", "app lento", "T", "f", "p", 1.0, 1)])
+    s.commit_changes(rows.filter("id = 'a'").withColumn("usage_count", F.lit(9).cast("long")).unionByName(new), 1)
+    assert {(r.id, r.usage_count) for r in s.read().collect()} == {("a", 9), ("b", 1), ("c", 1), ("d", 1)}
+    assert {(r.categoria, r.v) for r in s.manifest(2).collect()} == {("T", 2), ("N", 1), (None, 1)}
+    assert sorted(p.name for p in (tmp_path / "s/rows/v=2").glob("categoria=*")) == ["categoria=T"]
+    # An earlier version can be read until it expires; rows that the last one needs stay.
+    assert {r.id for r in s.read(1).collect()} == {"a", "b", "c"}
+    assert s.expire(1) == [] and s.read().count() == 4
+    s.commit(s.read(), 2)
+    assert s.expire(1) == [1, 2] and s.read().count() == 4
+    s.commit_changes(s.read().limit(0), 3)
+    assert s.version() == 4 and s.read().count() == 4
 
 
 def test_stream_equals_batches_and_replay_changes_nothing(spark, pains, tmp_path):
@@ -116,8 +136,13 @@ def test_stream_equals_batches_and_replay_changes_nothing(spark, pains, tmp_path
         df.coalesce(1).write.mode("append").parquet(str(src))
     stream = spark.readStream.schema(pains.schema).option("maxFilesPerTrigger", 1).parquet(str(src))
     ST.start(stream, str(tmp_path / "run"), day(), sequence="edit").awaitTermination()
-    streamed = ST.StreamState(spark, str(tmp_path / "run")).store.read()
-    assert {(r.id, r.usage_count) for r in streamed.collect()} == before
+    run = ST.StreamState(spark, str(tmp_path / "run"))
+    assert {(r.id, r.usage_count) for r in run.store.read().collect()} == before
+    sources = {r.source for r in run.store._commits().collect()}
+    assert len(sources) == 1 and "" not in sources
+    # Another stream's batch 0 is a batch of its own.
+    run.apply(second, 0, day(), sequence="edit", source="another")
+    assert run.store.version() == 3 and run.normalized().filter("version = 3").count() == run.normalized().filter("version = 2").count()
 
 
 def test_thresholds(spark):

@@ -28,20 +28,24 @@ BASE_SQL = f"{PAINS_SQL}, {STORE_SQL}"
 EDIT = {"sequence": "edit"}
 
 
-def _offers_sql(tiers: tuple[int, ...], on: str = "") -> str:
-    """Best accepted canonical per pain, by brute force over all pairs of the block."""
-    floor = M.score_floor(K.INITIAL_THRESHOLDS, tiers)
+def _offers_sql(tiers: tuple[int, ...], on: str = "", least: dict | None = None) -> str:
+    """Best accepted canonical per pain, by brute force over all pairs of the block.
+
+    With `least`, the lowest thresholds possible, the thresholds themselves are read from a row `lim`.
+    """
+    floor = M.score_floor(least or K.INITIAL_THRESHOLDS, tiers)
     cols = ["categoria", *[x for x in on.split(",") if x]]
     side = " and ".join(f"q.{c} = x.{c}" for c in cols)
     arms = []
     for no, name, factor in K.TIERS:
         if no in tiers:
+            limit = f"(select {name} from lim)" if least else f"{K.INITIAL_THRESHOLDS[name]}e0"
             same = {1: "x.familia = s.familia and x.produto = s.produto and x.familia <> 'INCONCLUSIVO'",
                     2: "x.familia = s.familia and x.familia <> 'INCONCLUSIVO'", 3: "true"}[no]
             arms.append(
                 f"select x.pain_id, {no} tier, '{name}' lvl, least(q.s * s.f * {factor}e0, 1e0) adj, s.creation_date, s.id, s.canonical_text "
                 f"from pains x join pairs q on {side} and q.p = x.dor_especifica join fs s on s.categoria = q.categoria and s.canonical_text = q.c "
-                f"where {same} and least(q.s * s.f * {factor}e0, 1e0) >= {K.INITIAL_THRESHOLDS[name]}e0"
+                f"where {same} and least(q.s * s.f * {factor}e0, 1e0) >= {limit}"
             )
     return f"""{pair_scores_sql(floor, on)},
 fs as (select *, (0.8e0 + 0.2e0 * confidence_score) * case when usage_count > 5 then 1.05e0 else 1e0 end f from store where coalesce(is_active, true)),
@@ -220,17 +224,22 @@ def consolidate_medoid(t):
     return both.select("id", r6(mean).alias("medoid_mean"), F.col("canonical_text").alias("medoid"))
 
 
+def _placing_sql(missed: str, no: str = "") -> str:
+    """Unmatched pains by text: the first sure one creates, later ones merge."""
+    return f"""firsts{no} as (select *, row_number() over (partition by categoria, dor_especifica order by pain_id) rn from {missed} where confidence_score >= 0.6),
+made{no} as (select lower(left(categoria, 4) || '_' || left(familia, 4) || '_' || md5(lower(dor_especifica || chr(31) || categoria || chr(31) || familia))) id,
+  pain_id made_at, dor_especifica, categoria, familia mf, produto mp, confidence_score, 0.8e0 + 0.2e0 * confidence_score f from firsts{no} where rn = 1),
+placed{no} as (select x.pain_id, m.id, m.f, case when x.pain_id = made_at then 'new' when x.pain_id > made_at then
+    case when x.familia = mf and mf <> 'INCONCLUSIVO' and x.produto = mp then 'trio' when x.familia = mf and mf <> 'INCONCLUSIVO' then 'pair' else 'semantic' end end lvl
+  from {missed} x left join made{no} m on m.categoria = x.categoria and m.dor_especifica = x.dor_especifica)"""
+
+
 def _normalize_sql() -> str:
     """The batch in SQL: match with the store, then one canonical per unmatched category and text."""
     return f"""{PAINS_SQL.replace('pains as (', 'pains0 as (')}, {STORE_SQL}, pains as (select * from pains0 where coalesce(is_valid, true)),
 {_offers_sql((1, 2, 3))},
 missed as (select x.* from pains x left join best b on b.pain_id = x.pain_id where b.pain_id is null),
-firsts as (select *, row_number() over (partition by categoria, dor_especifica order by pain_id) rn from missed where confidence_score >= 0.6),
-made as (select lower(left(categoria, 4) || '_' || left(familia, 4) || '_' || md5(lower(dor_especifica || chr(31) || categoria || chr(31) || familia))) id,
-  pain_id made_at, dor_especifica, categoria, familia mf, produto mp, 0.8e0 + 0.2e0 * confidence_score f from firsts where rn = 1),
-placed as (select x.pain_id, m.id, m.f, case when x.pain_id = made_at then 'new' when x.pain_id > made_at then
-    case when x.familia = mf and mf <> 'INCONCLUSIVO' and x.produto = mp then 'trio' when x.familia = mf and mf <> 'INCONCLUSIVO' then 'pair' else 'semantic' end end lvl
-  from missed x left join made m on m.categoria = x.categoria and m.dor_especifica = x.dor_especifica),
+{_placing_sql('missed')},
 norm as (select pain_id, id canonical_id, adj similarity_score, lvl context_level, 'merged_with_' || lvl normalization_action from best
   union all select pain_id, case when lvl is not null then id end, case lvl when 'trio' then f when 'pair' then f * 0.95e0 when 'semantic' then f * 0.9e0 end,
   lvl, case when lvl is null then 'rejected' when lvl = 'new' then 'created_new' else 'merged_with_' || lvl end from placed)"""
@@ -420,14 +429,37 @@ def result_rows(t):
     )
 
 
-@query()
+LEAST = {"trio": K.INITIAL_THRESHOLDS["trio"], "pair": 0.68 - 1e-9, "semantic": 0.63 - 1e-9}
+
+
+def _stream_sql() -> str:
+    """Pains of even feedback against nothing, then those of odd feedback against what the first led to."""
+    return f"""{PAINS_SQL.replace('pains as (', 'pains0 as (')}, ok as (select * from pains0 where coalesce(is_valid, true)),
+even as (select * from ok where feedback_id::bigint % 2 = 0), pains as (select * from ok where feedback_id::bigint % 2 = 1),
+{_placing_sql('even', '1')},
+rate as (select count(*) filter (lvl in ('trio', 'pair')) / count(*) m from placed1 where lvl is not null),
+lim as (select case when m > 0.8 then 0.76e0 else 0.75e0 end trio, case when m < 0.3 then 0.7e0 - 0.02e0 when m > 0.8 then 0.7e0 + 0.01e0 else 0.7e0 end pair,
+  case when m < 0.3 then 0.65e0 - 0.02e0 else 0.65e0 end semantic from rate),
+uses as (select id, count(*) n from placed1 where lvl <> 'new' group by 1),
+store as (select m.id, dor_especifica canonical_text, categoria, mf familia, mp produto, date '2024-06-01' creation_date, 1 + coalesce(n, 0) usage_count,
+  confidence_score, true is_active from made1 m left join uses u on u.id = m.id),
+{_offers_sql((1, 2, 3), least=LEAST)},
+missed as (select x.* from pains x left join best b on b.pain_id = x.pain_id where b.pain_id is null),
+{_placing_sql('missed')},
+placed_all as (select *, 1 "version" from placed1 union all select *, 2 from placed),
+norm as (select pain_id, id canonical_id, lvl context_level, 'merged_with_' || lvl normalization_action, 2 "version" from best
+  union all select pain_id, case when lvl is not null then id end, lvl,
+  case when lvl is null then 'rejected' when lvl = 'new' then 'created_new' else 'merged_with_' || lvl end, "version" from placed_all)"""
+
+
+@query(f'with {_stream_sql()} select pain_id, canonical_id, context_level, normalization_action, "version"::int "version" from norm')
 def stream_normalize(t):
-    """The pains as a stream of files, each a micro-batch that matches, creates and commits."""
+    """The pains as a stream of two micro-batches, by feedback id; each matches, creates and commits."""
     folder = run_folder(t, "stream")
-    pains = t.pains
-    pains.repartitionByRange(2, "pain_id").sortWithinPartitions("pain_id").write.parquet(f"{folder}/in")
-    stream = t.spark.readStream.schema(pains.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
-    run = ST.start(stream, f"{folder}/state", F.lit("2024-06-01").cast("date"), **EDIT)
-    run.awaitTermination()
+    for rest in (0, 1):
+        part = t.pains.filter(F.col("feedback_id").cast("long") % 2 == rest)
+        part.write.mode("append").parquet(f"{folder}/in")
+        stream = t.spark.readStream.schema(t.pains.schema).parquet(f"{folder}/in")
+        ST.start(stream, f"{folder}/state", F.lit("2024-06-01").cast("date"), **EDIT).awaitTermination()
     out = ST.StreamState(t.spark, f"{folder}/state").normalized()
-    return out.select("pain_id", "canonical_id", "context_level", "normalization_action", "batch")
+    return out.select("pain_id", "canonical_id", "context_level", "normalization_action", "version")
