@@ -1,15 +1,19 @@
-"""Line dedup by winnowing over line hashes.
+"""Line dedup by full windows over line hashes (no window is left out, as winnowing would).
 
 The lines of a document that hold a word, in order, are hashed. A window is the shortest run of lines from a
 line on that has `min_words` words; its fingerprint is its least line hash (the window minimum) together with
 the hash of the window. Windows depend only on their own lines, so a run of `min_words` words or more that
 occurs twice has a window, and so a fingerprint, in common: none is missed. Every position of a fingerprint is
 joined to the first one (by doc_id, then line), and the match is extended over the lines after it as long as
-both go on alike; lines before it need no work, as windows that begin there are repeated too. All lines of
-repeated runs but the first are deleted.
+both go on alike. With `every_place`, a position that goes on otherwise than the first may go on like another earlier one: its window
+with each longer piece of what follows is a key too, and is joined to the first position of that key. (Without it a
+tail that only a later place shares stays; the query and the pipeline have it on.) Lines before
+a match need no work, as windows that begin there are repeated too. All lines of repeated runs but the first are
+deleted.
 
-Only first positions are joined, so a passage in a third of all documents costs a row for each, not pairs;
-what is carried for the extension has less than `min_words` words and hence lines.
+Only first positions are joined, so a passage in a third of all documents costs a row for each (and one for each
+line by which it goes on otherwise), not pairs; what is carried for the extension has less than `min_words` words
+and hence lines.
 
 Defined cases: null texts have no lines and stay null; lines without a word (and line ends) are never matched
 and stay, unless nothing else is left; rows that repeat a doc_id and text are one document to the dedup and get
@@ -26,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from murmura.llm.common import map_batches
+from murmura.llm.common import map_batches, written
 
 MIN_WORDS = 50
 
@@ -80,8 +84,11 @@ def windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return map_batches(rows, run, WINDOWS)
 
 
-def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, text_hash, first and last line (of those with words) of each run that an earlier place has too."""
+def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, every_place: bool = False) -> DataFrame:
+    """doc_id, text_hash, first and last line (of those with words) of each run that an earlier place has too.
+
+    Windows are extended against their first place, and with `every_place` against all earlier ones.
+    """
     found = windows(docs, min_words)
     place = F.struct("doc_id", "text_hash", "line")
     first = (
@@ -94,16 +101,36 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     same = F.zip_with("after", "first.after", lambda a, b: F.coalesce(a == b, F.lit(False)))
     alike = F.array_position(same, F.lit(False)) - 1
     more = F.when(alike < 0, F.size(same)).otherwise(alike).cast("int")
-    return pairs.select("doc_id", "text_hash", F.col("line").alias("first"), (F.col("line") + F.col("lines") - 1 + more).alias("last"))
+    pairs = pairs.withColumn("more", more)
+    last = (F.col("line") + F.col("lines") - 1 + F.col("more")).alias("last")
+    if not every_place:
+        return pairs.select("doc_id", "text_hash", F.col("line").alias("first"), last)
+    # `after` stays only where the first place doesn't have all of it.
+    met = written(
+        pairs.select(
+            "doc_id", "text_hash", "minimum", "window", "line", "lines", "more",
+            F.when(F.col("more") < F.size("after"), F.col("after")).alias("after"),
+        )
+    )
+    # Whoever shares a longer piece leaves the first place at the same line, so these rows have all partners.
+    longer = met.filter(F.col("after").isNotNull()).select(
+        "doc_id", "text_hash", "minimum", "window", "line", "lines", "after",
+        F.explode(F.sequence(F.col("more") + 1, F.size("after"))).alias("more"),
+    )
+    longer = longer.withColumn("piece", F.xxhash64(F.slice("after", F.lit(1), F.col("more")))).drop("after")
+    key = ["minimum", "window", "more", "piece"]
+    earliest = longer.groupBy(*key).agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("n")).filter("n > 1").select(*key, "place")
+    runs = met.unionByName(longer.join(earliest, key).filter(~place.eqNullSafe(F.col("place"))).drop("piece", "place"), allowMissingColumns=True)
+    return runs.select("doc_id", "text_hash", F.col("line").alias("first"), last)
 
 
-def clean(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def clean(docs: DataFrame, min_words: int = MIN_WORDS, every_place: bool = False) -> DataFrame:
     """docs with later repeated runs taken out of `text`, and a column `deleted_lines`.
 
     A document that loses all its lines with words has an empty text.
     """
     runs = (
-        repeated_runs(docs, min_words)
+        repeated_runs(docs, min_words, every_place)
         .groupBy("doc_id", "text_hash")
         .agg(F.collect_set(F.struct("first", "last")).alias("runs"))  # at most the lines of one document
         .select(F.col("doc_id").alias("__id"), "text_hash", "runs")

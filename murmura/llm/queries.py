@@ -258,7 +258,7 @@ FROM documents d LEFT JOIN cleaned c ON d.doc_id = c.doc_id AND coalesce(d.text,
 
 @_query(_LINES_SQL)
 def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return linededup.clean(_table(spark, folder, "documents")).select("doc_id", "text", "deleted_lines")
+    return linededup.clean(_table(spark, folder, "documents"), every_place=True).select("doc_id", "text", "deleted_lines")
 
 
 @_query()

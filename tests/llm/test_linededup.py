@@ -66,3 +66,40 @@ def test_repeated_rows_are_one_document(make_docs):
     text = " ".join(f"w{i}" for i in range(60))
     rows = linededup.clean(make_docs([text, text, text], [1, 1, 2])).collect()
     assert sorted((r.doc_id, r.text) for r in rows) == [(1, text), (1, text), (2, "")]
+
+
+def brute_all(rows, least):
+    """Like brute, but every earlier place of a window is tried, not the first alone."""
+    lines = {doc: [x for x in (text or "").split("\n") if x.split()] for doc, text in rows}
+    gone = {doc: set() for doc in lines}
+    earlier = {}
+    for doc in sorted(lines):
+        own = lines[doc]
+        for i in range(len(own)):
+            stops = [j for j in range(i + 1, len(own) + 1) if sum(len(x.split()) for x in own[i:j]) >= least]
+            for j in stops:
+                if tuple(own[i:j]) in earlier:
+                    gone[doc] |= set(range(i, j))
+            for j in stops:
+                earlier.setdefault(tuple(own[i:j]), (doc, i))
+    return {doc: (linededup.without_lines(text, gone[doc]) if gone[doc] else text, len(gone[doc])) for doc, text in rows}
+
+
+def test_a_run_that_an_earlier_place_but_the_first_goes_on_with(make_docs):
+    hot = " ".join(f"w{i}" for i in range(60))
+    texts = [f"{hot}\nends one", f"{hot}\ntail a\nb c", f"{hot}\ntail a\nother", f"{hot}\ntail a\nb c\nfree", hot, f"{hot}\nnew"]
+    got = {r.doc_id: (r.text, r.deleted_lines) for r in linededup.clean(make_docs(texts), every_place=True).collect()}
+    assert [got[d] for d in range(6)] == [
+        (texts[0], 0), ("tail a\nb c", 1), ("other", 2), ("free", 3), ("", 1), ("new", 1)
+    ]
+
+
+def test_against_every_earlier_place(make_docs):
+    rnd = random.Random(16)
+    hot = [" ".join(f"h{i}x{j}" for j in range(14)) for i in range(3)]
+    pool = [*hot, *(" ".join(rnd.choices("abcdefgh", k=rnd.randint(1, 4))) for _ in range(5))]
+    texts = ["\n".join(rnd.choices(pool, k=rnd.randint(0, 20))) for _ in range(60)]
+    rows = list(enumerate(texts))
+    assert brute_all(rows, 12) != brute(rows, 12)
+    got = {r.doc_id: (r.text, r.deleted_lines) for r in linededup.clean(make_docs(texts), 12, every_place=True).collect()}
+    assert got == brute_all(rows, 12)
