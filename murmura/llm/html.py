@@ -1,14 +1,16 @@
 """HTML to text by layout: a tree with implied tags, visibility rules, and a renderer of blocks, lists and tables.
 
 The tree builder closes what HTML lets authors leave open (paragraphs before blocks, list items, table parts,
-options, terms) and ignores stray end tags. Invisible are scripts, styles, templates, the head, noscript, embedded
-objects, comments, hidden inputs, elements with `hidden`, and those whose style says display:none or
+options, terms, the head at whatever doesn't belong to it) and ignores stray end tags. Invisible are scripts, styles,
+templates, the head, noscript, embedded objects, what SVG and MathML don't draw themselves (descriptions, definitions), comments, hidden inputs, elements with `hidden`, and those whose style says display:none or
 visibility:hidden. All other text comes out, in document order.
 
 Blocks begin on a line of their own; paragraphs, headings, lists, tables and the like have an empty line around
 them. White space collapses but in preformatted text. List items have a bullet or number and are indented by depth.
 Rows of a table are lines, their cells padded to the width of the widest cell of each column (cells that span
-columns take the width of those).
+columns take the width of those; columns of cells that span rows stay free below). Cells keep their own lines, side
+by side; a table of one row inside a cell goes on in the cell's line. Formulas are their symbols in order, with a
+blank between the parts of fractions, powers and the like; every text of a drawing is a line.
 
 Defined cases: null html gives null text; html without visible text an empty one; broken markup never fails; texts
 of any length and depth are rendered without recursion; repeated rows are rendered each; an empty table gives an
@@ -29,7 +31,7 @@ from murmura.llm.common import map_batches
 
 # Element names of the HTML standard by the role they play here.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-INVISIBLE = set("script style template head title noscript noframes iframe object applet canvas svg math audio video datalist meta link base".split())
+INVISIBLE = set("script style template head title noscript noframes iframe object applet canvas audio video datalist meta link base".split())
 SPACED = set("p h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote figure hr fieldset details article section main".split())
 BLOCK = SPACED | set("div header footer nav aside address form li dt dd tr thead tbody tfoot caption figcaption legend summary body html option optgroup select menu dir center td th".split())
 #: Start tag to the open elements that it closes, up to the elements that stop the search.
@@ -45,6 +47,12 @@ IMPLIED = {
 }
 CLOSES_P = BLOCK - {"td", "th", "tr", "thead", "tbody", "tfoot", "caption", "option", "optgroup", "html", "body", "legend", "summary", "figcaption"}
 SCOPE = {"td", "th", "caption", "table", "button", "html"}
+#: What SVG and MathML don't draw, elements in them that hold HTML again, what may be in a head, and MathML's parts side by side.
+UNDRAWN = set("desc metadata defs symbol clippath mask pattern marker annotation annotation-xml".split())
+HTML_AGAIN = {"foreignobject", "desc", "title", "annotation-xml"}
+IN_HEAD = set("html head base basefont bgsound link meta noframes noscript script style template title".split())
+APART = set("mfrac msup msub msubsup munder mover munderover mroot mmultiscripts mtr".split())
+DRAWN_LINE = {"text", "foreignobject", "mtr"}
 _HIDDEN = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 
@@ -88,21 +96,33 @@ class TreeBuilder(HTMLParser):
         if found:
             self._close_to(found)
 
+    def _foreign(self) -> bool:
+        return bool(self.counts.get("svg") or self.counts.get("math")) and not any(self.counts.get(t) for t in HTML_AGAIN)
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag in CLOSES_P and self._foreign():
+            self._close_implied({"svg", "math"}, set())
         if self.counts.get("p") and tag in CLOSES_P:
             self._close_implied({"p"}, SCOPE)
         if tag in IMPLIED:
             self._close_implied(*IMPLIED[tag])
         if self.counts.get("head") and tag in BLOCK and tag != "html":
             self._close_implied({"head"}, {"html"})
+        if self.open[-1].tag == "head" and tag not in IN_HEAD:
+            self._close_to(len(self.open) - 1)
         node = Node(tag, dict(attrs))
+        if tag in UNDRAWN and (self.counts.get("svg") or self.counts.get("math")):
+            node.attributes["hidden"] = ""
         self.open[-1].children.append(node)
         if tag not in VOID:
             self.open.append(node)
             self.counts[tag] = self.counts.get(tag, 0) + 1
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        foreign = tag in ("svg", "math") or self._foreign() and tag not in CLOSES_P
         self.handle_starttag(tag, attrs)
+        if foreign and tag not in VOID:
+            self._close_to(len(self.open) - 1)
 
     def handle_endtag(self, tag: str) -> None:
         if tag == "br":
@@ -120,6 +140,8 @@ class TreeBuilder(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        if self.open[-1].tag == "head" and _SPACE.sub("", data):
+            self._close_to(len(self.open) - 1)
         self.open[-1].children.append(data)
 
 
@@ -188,33 +210,62 @@ class Flow:
 
 
 class Table:
-    def __init__(self) -> None:
-        self.rows: list[list[tuple[str, int]]] = []
+    def __init__(self, at: int, joined: bool) -> None:
+        #: Lines of the flow before the table; whether the last of them was cut short by it.
+        self.at, self.joined = at, joined
+        self.group = 0
+        #: Row group, and cells as (lines, columns, rows).
+        self.rows: list[tuple[int, list[tuple[list[str], int, int]]]] = []
+
+    def placed(self) -> list[list[tuple[int, int, list[str]]]]:
+        """For each row (column, columns, lines) of its cells, beside the cells that reach down from above."""
+        out, held, last = [], [], 0
+        for group, cells in self.rows:
+            if group != last:
+                held, last = [], group
+            row, at = [], 0
+            below = [n - 1 for n in held]
+            for lines, span, down in cells:
+                while at < len(held) and held[at] > 0:
+                    at += 1
+                row.append((at, span, lines))
+                below += [0] * (at + span - len(below))
+                below[at : at + span] = [max(b, down - 1) for b in below[at : at + span]]
+                at += span
+            held = below
+            out.append(row)
+        return out
 
     def lines(self) -> list[str]:
         widths: list[int] = []
+        rows = self.placed()
         for spanning in (False, True):
-            for row in self.rows:
-                at = 0
-                for text, span in row:
+            for row in rows:
+                for at, span, lines in row:
                     widths += [0] * (at + span - len(widths))
                     if (span > 1) == spanning:
                         room = sum(widths[at : at + span]) + 2 * (span - 1)
-                        widths[at + span - 1] += max(0, len(text) - room)
-                    at += span
+                        widths[at + span - 1] += max(0, max(map(len, lines), default=0) - room)
+        starts = [0]
+        for w in widths:
+            starts.append(starts[-1] + w + 2)
         out = []
-        for row in self.rows:
-            at, cells = 0, []
-            for text, span in row:
-                cells.append(text.ljust(sum(widths[at : at + span]) + 2 * (span - 1)))
-                at += span
-            out.append("  ".join(cells).rstrip())
+        for row in rows:
+            for k in range(max((len(lines) for *_, lines in row), default=0)):
+                line, end = [], 0
+                for at, _, lines in row:
+                    if k < len(lines) and lines[k]:
+                        # Only cells that overlap by their spans can meet; they stay apart.
+                        pad = max(starts[at] - end, 2 if end else 0)
+                        line.append(" " * pad + lines[k])
+                        end += pad + len(lines[k])
+                out.append("".join(line).rstrip())
         return out
 
 
-def _span(node: Node) -> int:
+def _number(node: Node, name: str, least: int, most: int) -> int:
     try:
-        return min(max(1, int(node.attributes.get("colspan") or 1)), 1000)
+        return min(max(least, int(node.attributes.get(name) or 1)), most)
     except ValueError:
         return 1
 
@@ -239,6 +290,11 @@ def render(root: Node) -> str:
             if tag == "br":
                 flow.end_line(force=True)
                 continue
+            if node.tag in APART and at and flow.line:
+                flow.space = True
+            if tag in DRAWN_LINE:
+                flow.block(False)
+            cut = bool(flow.line)
             if tag in BLOCK and tag not in ("td", "th", "tr", "thead", "tbody", "tfoot") or tag in ("td", "th", "tr") and not tables:
                 # A list inside a list needs no empty line.
                 flow.block(tag in SPACED and not (tag in ("ul", "ol", "dl") and lists))
@@ -263,31 +319,48 @@ def render(root: Node) -> str:
             elif tag == "blockquote":
                 flow.indent += "  "
             elif tag == "table":
-                tables.append(Table())
+                tables.append(Table(len(flow.lines), cut))
+            elif tag in ("thead", "tbody", "tfoot") and tables:
+                tables[-1].group += 1
             elif tag == "tr" and tables:
-                tables[-1].rows.append([])
+                tables[-1].rows.append((tables[-1].group, []))
             elif tag in ("td", "th") and tables:
                 if not tables[-1].rows:
-                    tables[-1].rows.append([])
+                    tables[-1].rows.append((tables[-1].group, []))
                 flows.append(Flow())
             stack.append([child, 0])
             continue
         stack.pop()
         tag = node.tag
         if tag in ("td", "th") and tables and len(flows) > 1:
-            text = " ".join(x.strip() for x in flows.pop().done() if x.strip())
-            tables[-1].rows[-1].append((text, _span(node)))
+            lines = flows.pop().done()
+            while lines and not lines[0].strip():
+                lines.pop(0)
+            while lines and not lines[-1].strip():
+                lines.pop()
+            down = node.attributes.get("rowspan") or ""
+            rows = 65534 if down.strip() == "0" else _number(node, "rowspan", 1, 65534)
+            tables[-1].rows[-1][1].append((lines, _number(node, "colspan", 1, 1000), rows))
             continue
         if tag == "table":
+            table = tables.pop()
+            lines = table.lines()
+            if len(flows) > 1 and len(lines) == 1 and len(flow.lines) == table.at and not (flow.line or flow.indent or flow.prefix or pre):
+                if table.joined:
+                    flow.line, flow.gap = [flow.lines.pop(), " "], False
+                flow.line.append(lines[0])
+                flow.space = True
+                continue
             flow.block(True)
-            for line in tables.pop().lines():
-                if line:
-                    flow.line.append(line)
-                    flow.end_line()
+            for line in lines:
+                flow.line.append(line)
+                flow.end_line(force=True)
             flow.block(True)
             continue
         if tag in BLOCK and tag not in ("tr", "thead", "tbody", "tfoot") or tag == "tr" and not tables:
             flow.block(tag in SPACED and not (tag in ("ul", "ol", "dl") and len(lists) > 1))
+        if tag in DRAWN_LINE:
+            flow.block(False)
         if tag == "pre":
             pre -= 1
         elif tag in ("ul", "ol", "menu", "dir"):

@@ -60,6 +60,27 @@ def test_all_visible_text_comes_out_in_order_of_the_tree():
         assert sorted("".join(got)) == sorted("".join(want)), markup
 
 
+def test_drawings_and_formulas():
+    assert visible_text("a<svg><title>t</title><desc>d</desc><defs><path/></defs><text>one</text><text>two</text></svg>b") == "a\none\ntwo\nb"
+    assert visible_text("<p>so <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac><annotation>x=1/2</annotation></math> holds") == "so x=1 2 holds"
+    assert visible_text("<div>a <svg/> b <math/> c <svg><path d=x /><g/></svg> d</div>") == "a b c d"
+    assert visible_text("<svg><desc>d<p>x</p></desc></svg><svg><defs><p>out") == "out"
+
+
+def test_head_ends_at_what_is_not_its_own():
+    for markup in ("<b>bold</b> text", "bold text", "<a href=x>bold</a> text", "<img src=x>bold text"):
+        assert visible_text(f"<html><head><meta charset=x><title>t</title>\n{markup}") == "bold text"
+    assert visible_text("<head><title>t</title><style>s</style><script>x</script></head><body>y") == "y"
+
+
+def test_cells_keep_their_lines_and_rows_span():
+    assert visible_text("<table><tr><td><p>a1<p>a2<td>b<tr><td>c<td><ul><li>d<li>e</ul></table>") == "a1  b\n\na2\nc   - d\n    - e"
+    assert visible_text("<table><tr><td>k<td><pre>x\n  y</pre></table>") == "k  x\n     y"
+    assert visible_text("<table><tr><td><table><tr><td>in<td>1<tr><td>ner<td>2</table><td>y</table>") == "in   1  y\nner  2"
+    assert visible_text("<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e</table>") == "a  b\n   c\nd  e"
+    assert visible_text("<table><tbody><tr><td rowspan=0>a<td>b<tr><td>c<tbody><tr><td>d<td>e</table>") == "a  b\n   c\nd  e"
+
+
 def test_table_of_pages(spark):
     pages = spark.createDataFrame([(1, "u", "<p>a", 5), (1, "u", "<p>a", 5), (None, None, None, 6)], "page_id long, url string, html string, text int")
     rows = sorted(((r.page_id, r.text) for r in html.extract(pages).collect()), key=str)
