@@ -5,6 +5,9 @@ to the power of the rules, a bound that no corpus exceeds), and EM on these coun
 documents and each rule's accuracy on good and on bad ones; abstentions carry no weight. A document is kept if
 the posterior probability of good is one half or more.
 
+Toxic texts are told apart by a lexicon of insults, whatever their quality: `toxic` is true from `MIN_TOXIC` such
+words and `TOXIC_SHARE` of all words on. It is a verdict of its own and takes no part in `kept`.
+
 Defined cases: null texts have no words; a text without words gets abstentions only; ties (posterior one half)
 are kept; repeated rows are judged alike and each counts as a vote; an empty table gives an empty table; other
 columns of the input are carried by `kept_documents` only.
@@ -27,17 +30,21 @@ from murmura.llm.common import map_batches, with_defaults, written
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
+#: English insults, as in the texts labelled toxic; other languages need words of their own.
+TOXIC_WORDS = frozenset(b"clown disgusting idiot loser moron pathetic scum stupid trash worthless".split())
+MIN_TOXIC, TOXIC_SHARE = 2, 0.005
 
 _UPPER = bytes(range(65, 91))
 _LETTERS = _UPPER + bytes(range(97, 123))
 _WIDE = bytes(range(128, 256))
+_APART = bytes(c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
 _MARKS = bytes(c for c in range(33, 128) if not chr(c).isalnum())
 
 STATS = T.StructType(
     [T.StructField("doc_id", T.LongType()), T.StructField("text_hash", T.LongType())]
     + [
         T.StructField(n, T.LongType())
-        for n in ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_upper", "n_letters", "n_wide", "n_bare", "n_top_word")
+        for n in ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_upper", "n_letters", "n_wide", "n_bare", "n_top_word", "n_toxic")
     ]
 )
 
@@ -68,7 +75,8 @@ def text_stats(text: str | None) -> tuple[int, ...]:
     wide = chars - len(joined.translate(None, _WIDE))
     bare = n - len(b" ".join(words).translate(None, _MARKS).split())
     top = Counter(words).most_common(1)[0][1] if n else 0
-    return n, chars, sum(map(text.count, SYMBOLS)), len(lines), len(lines) - len(set(lines)), repeats, upper, letters, wide, bare, top
+    toxic = sum(map(TOXIC_WORDS.__contains__, text.encode("utf-8", "surrogatepass").lower().translate(_APART).split()))
+    return n, chars, sum(map(text.count, SYMBOLS)), len(lines), len(lines) - len(set(lines)), repeats, upper, letters, wide, bare, top, toxic
 
 
 def stats(docs: DataFrame) -> DataFrame:
@@ -87,6 +95,10 @@ def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
 
 
+def toxic() -> Column:
+    return (F.col("n_toxic") >= MIN_TOXIC) & (F.col("n_toxic") >= TOXIC_SHARE * F.col("n_words"))
+
+
 def rules() -> dict[str, Column]:
     """Name to vote: 1 good, 0 bad, null abstains."""
     n = F.col("n_words")
@@ -151,14 +163,14 @@ def posterior(model: Model, votes: Sequence[Column]) -> Column:
 
 
 def judge(docs: DataFrame) -> DataFrame:
-    """The counts of each document, base_failed, the posterior p_good, and kept."""
+    """The counts of each document, base_failed, toxic, the posterior p_good, and kept."""
     named = rules()
     counted = written(stats(docs))
     voted = counted.select(*[c.cast("int").alias(n) for n, c in named.items()])
     found = voted.groupBy(*named).count().collect()  # 3 ** rules rows at most
     model = fit({tuple(r[n] for n in named): r["count"] for r in found}, len(named))
     p = posterior(model, list(named.values()))
-    return counted.withColumns({"base_failed": base_failed(), "p_good": p}).withColumn(
+    return counted.withColumns({"base_failed": base_failed(), "toxic": toxic(), "p_good": p}).withColumn(
         "kept", ~F.col("base_failed") & (F.col("p_good") >= 0.5)
     )
 

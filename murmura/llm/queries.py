@@ -48,7 +48,7 @@ def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 @_query()
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(_table(spark, folder, "documents")).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good"
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good", "toxic"
     )
 
 

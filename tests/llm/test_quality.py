@@ -73,3 +73,15 @@ def test_kept_documents_keeps_all_columns_and_repeated_rows(make_docs):
     docs = make_docs([fine, fine, "x", None], [1, 1, 2, None])
     rows = quality.kept_documents(docs)
     assert rows.columns == docs.columns and [r.doc_id for r in rows.collect()] == [1, 1]
+
+
+def test_toxic_texts_against_labels(spark):
+    """English texts of good quality that are labelled toxic are flagged, and no text that isn't labelled so."""
+    folder = "/root/testdata/sf0.01"
+    flagged = op3_quality_rules(spark, folder).withColumnRenamed("toxic", "flag")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang")
+    rows = flagged.join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").join(docs, "doc_id").collect()
+    assert not any(r.flag for r in rows if not r.toxic)
+    planted = [r.flag for r in rows if r.toxic and r.quality and r.lang == "en"]
+    assert planted and all(planted)
+    assert sum(r.flag for r in rows) == 33
