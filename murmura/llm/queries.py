@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmura.llm import decontaminate, html, linededup, lm, packing, quality, sharding, simhash, urls, warc
+from murmura.llm import decontaminate, exactdedup, html, linededup, lm, packing, quality, sharding, simhash, urls, warc
 from murmura.llm.common import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -295,3 +295,16 @@ def op7_pitman_yor_scoring(spark: SparkSession, folder: str) -> DataFrame:
 @_query()
 def op4_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return html.extract(_table(spark, folder, "pages")).select("page_id", "text")
+
+
+_EXACT_SQL = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+    row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+
+@_query(_EXACT_SQL)
+def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    digest = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
+    return exactdedup.groups(_table(spark, folder, "documents"), keep="largest", carry={"text_sha256": digest})
