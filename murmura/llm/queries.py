@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmura.llm import decontaminate, exactdedup, html, linededup, lm, packing, quality, sharding, simhash, urls, warc
+from murmura.llm import convtrie, decontaminate, exactdedup, html, linededup, lm, packing, quality, sharding, simhash, urls, warc
 from murmura.llm.common import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -308,3 +308,45 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     digest = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
     return exactdedup.groups(_table(spark, folder, "documents"), keep="largest", carry={"text_sha256": digest})
+
+
+_TRIE_SQL = """
+WITH bits AS (  -- one step of the reflected CRC-32 polynomial for each of eight bits
+    SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
+        lambda a, i: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS steps
+), own AS (
+    SELECT conv_id AS c, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS t
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), heads AS (
+    SELECT c, t, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(
+            regexp_extract_all(hex(encode(CAST(c AS VARCHAR))), '..'), lambda h: CAST('0x' || h AS BIGINT))),
+            lambda a, b: xor(a >> 8, steps[xor(a & 255, b) + 1]))) % 4 AS h
+    FROM own, bits
+), rebuilt AS (
+    SELECT a.c, list_concat(CASE WHEN a.h > 0 THEN coalesce(b.t[1:a.h], []) ELSE [] END, a.t[a.h + 1:]) AS t
+    FROM heads a LEFT JOIN own b ON b.c = a.c - a.c % 20
+), prefix AS (
+    SELECT c, t[1:d] AS t, d, len(t) = d AS ends FROM (SELECT c, t, unnest(range(0, len(t) + 1)) AS d FROM rebuilt)
+), node AS (
+    SELECT t, d, min(c) AS c, count(*) AS n, coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE ends), '') AS ids
+    FROM prefix GROUP BY t, d
+), kids AS (
+    SELECT t[1:d - 1] AS t, d - 1 AS d, count(*) AS n FROM node WHERE d > 0 GROUP BY ALL
+), full_node AS (
+    SELECT a.*, p.c AS parent, coalesce(k.n, 0) AS kids,
+        CASE WHEN a.d > 0 THEN (a.n - 1) * len(regexp_extract_all(a.t[a.d].text, '[^\\x20\\x09-\\x0D]+')) ELSE 0 END AS save
+    FROM node a LEFT JOIN node p ON p.d = a.d - 1 AND p.t = a.t[1:a.d - 1] LEFT JOIN kids k ON k.t = a.t AND k.d = a.d
+), below AS (
+    SELECT t[1:e] AS t, e AS d, sum(CAST(kids = 0 AS BIGINT)) AS leaves, sum(save) AS saved
+    FROM (SELECT t, kids, save, unnest(range(0, d + 1)) AS e FROM full_node) GROUP BY ALL
+)
+SELECT a.c AS conv_id, a.d AS depth, a.parent AS parent_conv_id, a.n AS n_convs, a.kids AS n_children,
+    CAST(b.leaves AS BIGINT) AS n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens, sha256(a.ids) AS ends_sha256
+FROM full_node a JOIN below b ON a.t = b.t AND a.d = b.d
+"""
+
+
+@_query(_TRIE_SQL)
+def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    found = convtrie.nodes(*convtrie.branched(_table(spark, folder, "conversations")))
+    return found.drop("enter_pos", "exit_pos")
