@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmura.llm import convtrie, decontaminate, exactdedup, html, linededup, lm, packing, quality, sharding, simhash, urls, warc
+from murmura.llm import collocation, convtrie, decontaminate, exactdedup, html, linededup, lm, packing, quality, sharding, simhash, urls, warc
 from murmura.llm.common import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -350,3 +350,43 @@ FROM full_node a JOIN below b ON a.t = b.t AND a.d = b.d
 def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
     found = convtrie.nodes(*convtrie.branched(_table(spark, folder, "conversations")))
     return found.drop("enter_pos", "exit_pos")
+
+
+_PHRASE_SQL = r"""
+WITH piece AS (
+    SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w
+    FROM (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p
+        FROM documents
+    )
+), total AS (
+    SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM piece GROUP BY lang
+), gram AS (
+    SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, w[i:i + m - 1] AS g, count(*) AS a
+    FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM piece, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE len(w) >= m)
+    GROUP BY ALL HAVING count(*) >= 30
+), cut AS (
+    SELECT lang, m, phrase, g, a, unnest(range(1, m)) AS k FROM gram WHERE m > 1
+), scored AS (
+    SELECT c.lang, c.m, c.phrase, c.g, c.a, k, l.a AS l, r.a AS r, (2000000::HUGEINT * c.a) // (l.a + r.a) AS score
+    FROM cut c JOIN gram l ON l.lang = c.lang AND l.phrase = array_to_string(c.g[:k], ' ')
+    JOIN gram r ON r.lang = c.lang AND r.phrase = array_to_string(c.g[k + 1:], ' ')
+), least AS (
+    SELECT lang, m, phrase, a, min((score, k, l, r)) AS s FROM scored GROUP BY ALL
+), inside AS (  -- every stretch of two words or more of a longer candidate
+    SELECT lang, array_to_string(g[i:i + d - 1], ' ') AS phrase, max(a) AS a
+    FROM (SELECT lang, g, a, d, unnest(range(1, m - d + 2)) AS i FROM gram, (SELECT unnest([2, 3]) AS d) WHERE m > d)
+    GROUP BY ALL
+), ranked AS (
+    SELECT c.lang, c.phrase, c.a, c.s, row_number() OVER (PARTITION BY c.lang ORDER BY c.s[1] DESC, c.a DESC, encode(c.phrase)) AS rank
+    FROM least c LEFT JOIN inside i ON i.lang = c.lang AND i.phrase = c.phrase
+    WHERE i.a IS NULL OR 100 * i.a::HUGEINT < 80 * c.a::HUGEINT
+)
+SELECT lang, rank, phrase, a, s[3] AS l, s[4] AS r, n, CAST(s[1] AS BIGINT) AS score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+
+@_query(_PHRASE_SQL)
+def op12_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocation.phrases(_table(spark, folder, "documents"))
