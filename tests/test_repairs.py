@@ -117,19 +117,13 @@ def test_similar_new_texts_of_a_batch_merge(spark):
     rows = [(f"p{i}", "f", i, t, "A", "f1", "p1", 0.4 if i == 1 else 1.0) for i, t in enumerate(texts)]
     pains = spark.createDataFrame(rows, "pain_id string, feedback_id string, pos int, dor_especifica string, categoria string, familia string, produto string, confidence_score double")
     empty = spark.createDataFrame([], CANONICAL)
-    apart = N.normalize_batch(pains, empty, "r", day(), sequence="edit")
+    apart = N.normalize_batch(pains, empty, "r", day(), sequence="edit", merge_within=False)
     assert apart.created.unionByName(apart.updated).count() == 3
-    batch = N.normalize_batch(pains, empty, "r", day(), sequence="edit", merge_within=True)
+    batch = N.normalize_batch(pains, empty, "r", day(), sequence="edit")
     got = {r.pain_id: (r.context_level, r.canonical_text) for r in batch.normalized.collect()}
     assert got["p3"] == ("trio", texts[0]) and got["p4"] == ("trio", texts[0]) and got["p2"][0] == "new"
     assert len(got) == 5
     store = N.next_store(empty, batch)
-    assert {r.canonical_text: r.usage_count for r in store.collect()} == {texts[0]: 3, texts[2]: 1}
-
-
-def test_chains_are_followed_to_their_end(spark):
-    from murmura.operators import within as W
-
-    links = spark.createDataFrame([("c", f"t{i}", f"t{i - 1}", "trio", 1.0) for i in range(1, 20)],
-                                  f"categoria string, {W.NORM} string, parent string, context_level string, similarity_score double")
-    assert {r.parent for r in W.follow(links).collect()} == {"t0"}
+    # The unsure pain p1 creates nothing, but merges into the canonical before it.
+    assert got["p1"] == ("trio", texts[0])
+    assert {r.canonical_text: r.usage_count for r in store.collect()} == {texts[0]: 4, texts[2]: 1}

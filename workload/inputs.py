@@ -251,29 +251,31 @@ results as (select o_orderkey::varchar feedback_id, o_orderpriority,
   on o_orderkey = l_orderkey)"""
 
 
-def pair_scores_sql(floor: float, on: str = "") -> str:
+def pair_scores_sql(
+    floor: float, on: str = "", left: str = "pains", right: str = "store where coalesce(is_active, true)", text: str = "canonical_text", mark: str = ""
+) -> str:
     """All scored pairs (categoria, p, c, s) of distinct texts that reach the floor, by brute force. All pairs
     pass through; none is kept in memory.
 
-    `on`: further columns both sides must share.
+    `on`: further columns both sides must share. `left` (dor_especifica) and `right` (`text`): the tables; `mark` goes to the names.
     """
     cols = ", ".join(["categoria", *[x for x in on.split(",") if x]])
     same = " and ".join(f"a.{c.strip()} = b.{c.strip()}" for c in cols.split(","))
     keep = ", ".join(f"a.{c.strip()}" for c in cols.split(","))
-    return f"""pt as (select distinct {cols}, dor_especifica t from pains),
-ct as (select distinct {cols}, canonical_text t from store where coalesce(is_active, true)),
-pw as (select *, string_split(t, ' ') w, list_distinct(string_split(t, ' ')) d, length(t) l from pt),
-cw as (select *, string_split(t, ' ') w, list_distinct(string_split(t, ' ')) d, length(t) l from ct),
-j0 as not materialized (select {keep}, a.t p, b.t c, a.w wa, b.w wb, a.d da, b.d db, a.l la, b.l lb,
+    return f"""pt{mark} as (select distinct {cols}, dor_especifica t from {left}),
+ct{mark} as (select distinct {cols}, {text} t from {right}),
+pw{mark} as (select *, string_split(t, ' ') w, list_distinct(string_split(t, ' ')) d, length(t) l from pt{mark}),
+cw{mark} as (select *, string_split(t, ' ') w, list_distinct(string_split(t, ' ')) d, length(t) l from ct{mark}),
+j0{mark} as not materialized (select {keep}, a.t p, b.t c, a.w wa, b.w wb, a.d da, b.d db, a.l la, b.l lb,
   case when a.l > b.l then contains(a.t, b.t) else contains(b.t, a.t) end cont
-  from pw a join cw b on {same}
+  from pw{mark} a join cw{mark} b on {same}
   where least(a.l, b.l) >= 0.7 * greatest(a.l, b.l)
      or case when a.l > b.l then contains(a.t, b.t) else contains(b.t, a.t) end),
-j1 as not materialized (select *, len(list_intersect(da, db)) k, len(da) + len(db) nn from j0),
-j2 as not materialized (select *, k / (nn - k) jac, list_intersect(da, db) cm from j1
+j1{mark} as not materialized (select *, len(list_intersect(da, db)) k, len(da) + len(db) nn from j0{mark}),
+j2{mark} as not materialized (select *, k / (nn - k) jac, list_intersect(da, db) cm from j1{mark}
   where 0.3 * k / (nn - k) + 0.2 * cont::int + 0.1 + 0.4 * least(la, lb) / greatest(la, lb) >= {floor} - 1e-6),
-pairs as (select * from (select {cols}, p, c, case when p = c then 1e0 else
+pairs{mark} as (select * from (select {cols}, p, c, case when p = c then 1e0 else
   0.4e0 * (1 - levenshtein(p, c) / greatest(la, lb)) + 0.3e0 * jac + 0.2e0 * cont::int
   + 0.1e0 * case when k = 0 then 0 else list_avg(list_transform(cm, lambda x:
     1 - abs((len(wa) - list_position(list_reverse(wa), x)) / len(wa) - (len(wb) - list_position(list_reverse(wb), x)) / len(wb)))) end
-  end s from j2) where s >= {floor} - 1e-9)"""
+  end s from j2{mark}) where s >= {floor} - 1e-9)"""

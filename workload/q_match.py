@@ -18,6 +18,7 @@ from murmura.plans import normalize as N
 from murmura.plans import report as REP
 from murmura.plans import results as RES
 from murmura.schemas import CANONICAL
+from murmura.session import cut_lineage
 from murmura.sources.store import active
 from murmura.streaming import normalize as ST
 from workload.inputs import PAINS_SQL, RESULTS_SQL, STORE_SQL, Tables, pair_scores_sql
@@ -108,36 +109,38 @@ def create_canonicals(t):
     return made.select("id", "canonical_text", "categoria", "familia", "produto", "confidence_score", "usage_count")
 
 
-def _merge_sql() -> str:
-    """Links among the new texts of a batch on an empty store: all pairs, then the best earlier one, then chains."""
+def _within_sql(texts: str, made: str) -> str:
+    """Accepted pairs of `texts` (categoria, dor_especifica, familia, produto, made_at) with `made`, and the texts that merge, row by row."""
     floor = M.score_floor(K.INITIAL_THRESHOLDS)
-    scores = pair_scores_sql(floor).replace("dor_especifica t from pains", "dor_especifica t from made")
-    scores = scores.replace("canonical_text t from store where coalesce(is_active, true)", "dor_especifica t from made")
+    scores = pair_scores_sql(floor, "", texts, made, "dor_especifica", "_in")
     arms = []
     for no, name, factor in K.TIERS:
         same = {1: "x.familia = y.familia and x.produto = y.produto and x.familia <> 'INCONCLUSIVO'",
                 2: "x.familia = y.familia and x.familia <> 'INCONCLUSIVO'", 3: "true"}[no]
         adj = f"least(q.s * (0.8e0 + 0.2e0 * y.confidence_score) * {factor}e0, 1e0)"
         arms.append(
-            f"select x.categoria, x.dor_especifica node, y.dor_especifica parent, y.pain_id made_at, {no} tier, '{name}' lvl, {adj} adj "
-            f"from pairs q join made x on x.categoria = q.categoria and x.dor_especifica = q.p join made y on y.categoria = q.categoria and y.dor_especifica = q.c "
-            f"where q.p <> q.c and x.pain_id > y.pain_id and {same} and {adj} >= {K.INITIAL_THRESHOLDS[name]}e0"
+            f"select x.categoria, x.dor_especifica node, x.made_at node_at, y.dor_especifica parent, y.made_at par_at, {no} tier, '{name}' lvl, {adj} adj "
+            f"from pairs_in q join {texts} x on x.categoria = q.categoria and x.dor_especifica = q.p join {made} y on y.categoria = q.categoria and y.dor_especifica = q.c "
+            f"where q.p <> q.c and {same} and {adj} >= {K.INITIAL_THRESHOLDS[name]}e0"
         )
-    return f"""with recursive {BASE_SQL}, {CREATED_SQL}, {scores},
-link as (select * from (select *, row_number() over (partition by categoria, node order by tier, adj desc, made_at) rn from ({' union all '.join(arms)})) where rn = 1),
-up as (select categoria, node, parent from link union all select u.categoria, u.node, l.parent from up u join link l on l.categoria = u.categoria and l.node = u.parent)
-select u.categoria, u.node dor_especifica, u.parent root, l.lvl context_level, round(l.adj + 1e-9, 6) similarity_score
-from up u join link l on l.categoria = u.categoria and l.node = u.node
-where not exists (select 1 from link e where e.categoria = u.categoria and e.node = u.parent)"""
-
-
-@query(_merge_sql())
+    return f"""{scores}, near as ({' union all '.join(arms)}),
+late as (select categoria, node_at, list(distinct par_at) pars, row_number() over (partition by categoria order by node_at) i from near where par_at < node_at group by categoria, node_at),
+walk as (select distinct categoria, 0::bigint i, []::varchar[] gone from late union all
+  select l.categoria, l.i, case when len(list_filter(l.pars, lambda x: not list_contains(w.gone, x))) > 0 then list_append(w.gone, l.node_at) else w.gone end
+  from walk w join late l on l.categoria = w.categoria and l.i = w.i + 1),
+gone as (select unnest(gone) made_at from (select categoria, arg_max(gone, i) gone from walk group by 1))"""
+
+
+@query(f"""with recursive {BASE_SQL}, {CREATED_SQL.replace('pain_id, dor', 'pain_id made_at, dor')}, {_within_sql('made', 'made')}
+select categoria, node dor_especifica, parent root, lvl context_level, round(adj + 1e-9, 6) similarity_score from
+  (select *, row_number() over (partition by categoria, node order by tier, adj desc, par_at) rn from near
+   where par_at < node_at and node_at in (from gone) and par_at not in (from gone)) where rn = 1""")
 def batch_merge(t):
-    """Where the new texts of a batch go that are similar to an earlier one, on an empty store."""
+    """Where the new texts of a batch go that are similar to an earlier canonical of it, on an empty store."""
     made = C.create_canonicals(t.pains, "pain_id", "run1", F.lit("2024-06-01").cast("date"))
-    return W.follow(W.pointers(made, K.INITIAL_THRESHOLDS)).select(
-        "categoria", F.col(M.NORM).alias("dor_especifica"), F.col("parent").alias("root"), "context_level",
-        r6("similarity_score").alias("similarity_score"),
+    offered = cut_lineage(W.offers(made, made, K.INITIAL_THRESHOLDS))
+    return W.targets(offered, W.merged_texts(offered)).select(
+        "categoria", F.col(M.NORM).alias("dor_especifica"), "root", "context_level", r6("similarity_score").alias("similarity_score")
     )
 
 
@@ -247,7 +250,7 @@ norm as (select pain_id, id canonical_id, adj similarity_score, lvl context_leve
 
 def batch(t: Tables, **options) -> N.Batch:
     return N.normalize_batch(
-        t.pains, align(t.store, CANONICAL), "run1", F.lit("2024-06-01").cast("date"), **{**EDIT, **options}
+        t.pains, align(t.store, CANONICAL), "run1", F.lit("2024-06-01").cast("date"), **{**EDIT, "merge_within": False, **options}
     )
 
 
@@ -258,6 +261,33 @@ def normalize_batch(t):
     )
 
 
+def _merged_sql() -> str:
+    """As `_normalize_sql`, but texts similar to an earlier canonical of the batch merge into it."""
+    return f"""{_normalize_sql()},
+unsure as (select categoria, dor_especifica, null::varchar made_at, familia, produto from
+  (select *, row_number() over (partition by categoria, dor_especifica order by pain_id) rn from missed) m
+  where rn = 1 and not exists (select 1 from made where made.categoria = m.categoria and made.dor_especifica = m.dor_especifica)),
+texts as (select categoria, dor_especifica, made_at, mf familia, mp produto, confidence_score from made
+  union all select categoria, dor_especifica, made_at, familia, produto, null from unsure),
+roots as (select categoria, dor_especifica, made_at, mf familia, mp produto, confidence_score, id from made), {_within_sql('texts', 'roots')},
+stay as (select * from near where par_at not in (from gone) and (node_at is null or node_at in (from gone))),
+found as (select x.pain_id, r.id, s.lvl, s.adj, row_number() over (partition by x.pain_id order by tier, adj desc, par_at) rn
+  from missed x join stay s on s.categoria = x.categoria and s.node = x.dor_especifica and s.par_at < x.pain_id
+  join roots r on r.categoria = s.categoria and r.dor_especifica = s.parent),
+loose as (select distinct x.pain_id from missed x join stay s on s.categoria = x.categoria and s.node = x.dor_especifica),
+merged_norm as (select n.pain_id, f.id canonical_id, f.adj similarity_score, f.lvl context_level, coalesce('merged_with_' || f.lvl, 'rejected') normalization_action
+  from norm n join loose using (pain_id) left join found f on f.pain_id = n.pain_id and f.rn = 1
+  union all select n.* from norm n where pain_id not in (from loose))"""
+
+
+@query(f"with recursive {_merged_sql()} select pain_id, canonical_id, round(similarity_score + 1e-9, 6) similarity_score, context_level, normalization_action from merged_norm")
+def normalize_merged(t):
+    """The batch with the store, and with merging among its own new texts."""
+    return batch(t, merge_within=True).normalized.select(
+        "pain_id", "canonical_id", r6("similarity_score").alias("similarity_score"), "context_level", "normalization_action"
+    )
+
+
 @query(f"with {_normalize_sql()} select normalization_action, case normalization_action when 'created_new' then 'global_pains_created' when 'merged_with_trio' then 'global_duplicates_prevented' when 'rejected' then 'rejected' else 'cross_execution_matches' end counter, count(*) n from norm group by all")
 def action_counts(t):
     return ME.action_counts(batch(t).normalized)
@@ -460,6 +490,6 @@ def stream_normalize(t):
         part = t.pains.filter(F.col("feedback_id").cast("long") % 2 == rest)
         part.write.mode("append").parquet(f"{folder}/in")
         stream = t.spark.readStream.schema(t.pains.schema).parquet(f"{folder}/in")
-        ST.start(stream, f"{folder}/state", F.lit("2024-06-01").cast("date"), **EDIT).awaitTermination()
+        ST.start(stream, f"{folder}/state", F.lit("2024-06-01").cast("date"), merge_within=False, **EDIT).awaitTermination()
     out = ST.StreamState(t.spark, f"{folder}/state").normalized()
     return out.select("pain_id", "canonical_id", "context_level", "normalization_action", "version")
