@@ -24,10 +24,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from murmura.llm.common import written
-
-#: Bits of the map of repeated hashes: at most 2^19 rows of 64 bits are broadcast.
-BITS = 1 << 25
+from murmura.llm.common import BITS, among, written
 
 
 def content_hash(text: Column) -> Column:
@@ -43,22 +40,6 @@ def _best(keep: str, doc: str, tag: str) -> Column:
     raise ValueError(f"keep is 'smallest' or 'largest', not {keep!r}")
 
 
-def _slot(bits: int) -> Column:
-    return F.pmod(F.xxhash64("__hash"), F.lit(bits).cast("long"))
-
-
-def _among(rows: DataFrame, hashes: DataFrame, bits: int) -> DataFrame:
-    """Rows whose hash may be one of `hashes`; none that is gets lost."""
-    bitmap = (
-        hashes.select(_slot(bits).alias("slot"))
-        .groupBy(F.shiftright("slot", 6).alias("__word"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("__set"))
-    )
-    # bits / 64 rows at most, whatever the number of hashes.
-    marked = rows.withColumn("__slot", _slot(bits)).join(F.broadcast(bitmap), F.shiftright("__slot", 6) == F.col("__word"))
-    return marked.filter("bit_get(__set, cast(__slot & 63 as int)) = 1").drop("__slot", "__word", "__set")
-
-
 def groups(
     docs: DataFrame,
     keep: str = "smallest",
@@ -80,13 +61,13 @@ def groups(
     repeated = written(counted.filter("__n > 1"))
 
     texts = docs.select(text.alias("__text"), hash_of(text).alias("__hash"))
-    alike = _among(texts, repeated, bits).groupBy("__hash", "__text").agg(F.count(F.lit(1)).alias("__n"))
+    alike = among(texts, repeated, "__hash", bits).groupBy("__hash", "__text").agg(F.count(F.lit(1)).alias("__n"))
     collided = written(alike.groupBy("__hash").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("__hash"))
     if collided.isEmpty():
         return _named(keyed.join(repeated, "__hash", "left"), carry)
 
     apart = docs.select(doc, text.alias("__text"), hash_of(text).alias("__hash"), *[c.alias(n) for n, c in extra.items()])
-    apart = _among(apart, collided, bits).join(collided, "__hash", "left_semi")
+    apart = among(apart, collided, "__hash", bits).join(collided, "__hash", "left_semi")
     apart = written(apart.withColumn("__tag", F.monotonically_increasing_id()))
     by_text = apart.groupBy("__hash", "__text").agg(F.count(F.lit(1)).alias("__n"), _best(keep, "__doc", "__tag").alias("__best"))
     pure = keyed.join(collided, "__hash", "left_anti").join(repeated, "__hash", "left")

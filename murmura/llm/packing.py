@@ -8,12 +8,12 @@ ranks go to which sequences at which offset. Pieces are then numbered within the
 buckets, and looked up in the runs, so no task sees a whole length and the driver only the histogram.
 
 Defined cases: a null text is empty (its end token alone); repeated rows are packed each; ids are in order of
-piece; an empty table gives an empty table; other columns of the input are not carried.
+piece; pieces of one length and id are ordered by their other columns; a long text is cut into pieces, a long word
+is encoded like any other; an empty table gives an empty table; other columns of the input are not carried.
 """
 
 from __future__ import annotations
 
-import heapq
 import re
 from collections.abc import Iterator, Mapping
 
@@ -42,9 +42,10 @@ class ByteBpe:
     """A byte-level BPE file, each distinct pre-token encoded once and kept in a bounded table.
 
     Byte-level BPE splits a text into pre-tokens (an optional space with letters, digits or other signs; white
-    space) and encodes each by itself. Texts of ASCII and Latin-1 letters are split here, many at a time, and
-    pre-tokens are told apart by a 64-bit hash; all other texts, and those with apostrophes (contractions) or a
-    special token, go to the tokenizer whole.
+    space) and encodes each by itself. Texts of ASCII and Latin-1 letters are split here, many at a time. Pre-tokens
+    are grouped by a hash, every one is compared with the first of its group byte by byte, and the table is keyed by
+    bytes. All other texts, those with apostrophes (contractions) or a special token, and texts whose pre-tokens
+    share a hash but not their bytes, go to the tokenizer whole.
     """
 
     PLAIN = re.compile("[\x00-&(-~\x7fÀ-ÖØ-öø-ÿ]*")
@@ -74,7 +75,7 @@ class ByteBpe:
         self.clear()
 
     def clear(self) -> None:
-        self.place: dict[int, int] = {}
+        self.place: dict[bytes, int] = {}
         self.store: list[np.ndarray] = []
         self.flat = np.zeros(0, np.uint32)
         self.begin = np.zeros(1, np.int64)
@@ -128,17 +129,19 @@ class ByteBpe:
         order = np.argsort(key)
         ranked = key[order]
         new = np.append(True, ranked[1:] != ranked[:-1])
-        distinct, example = ranked[new], order[new]
+        example = order[new]
         which = np.empty(len(key), np.int64)
         which[order] = np.cumsum(new) - 1
+        if not self._alike(data, begin, stop, example[which]):
+            return self.encode_whole(texts)
         if len(self.place) > self.most:
             self.clear()
-        keys = distinct.tolist()
+        raw = data.tobytes()
+        keys = [raw[begin[e] : stop[e]] for e in example.tolist()]
         place = np.array([self.place.get(x, -1) for x in keys], np.int64)
         missing = np.flatnonzero(place < 0)
         if len(missing):
-            raw = data.tobytes()
-            found = self._encode_words([raw[begin[e] : stop[e]] for e in example[missing]])
+            found = self._encode_words([keys[m] for m in missing.tolist()])
             count = len(self.place)
             for j, m in enumerate(missing.tolist()):
                 self.place[keys[m]] = count + j
@@ -153,6 +156,16 @@ class ByteBpe:
         cut = np.append(0, upto)[np.searchsorted(begin, ends)]
         return np.split(ids, cut[:-1])[: len(texts)]
 
+    @staticmethod
+    def _alike(data: np.ndarray, begin: np.ndarray, stop: np.ndarray, first: np.ndarray) -> bool:
+        """Whether every pre-token has the bytes of the one that stands for it."""
+        size = stop - begin
+        if (size != size[first]).any():
+            return False
+        # Where each byte's pre-token stands away from the one that stands for it.
+        away = np.repeat(begin[first] - begin, size)
+        return bool((data == data[np.arange(len(data)) + away]).all())
+
     def _starts(self, data: np.ndarray, ends: np.ndarray) -> np.ndarray:
         k = self.kind[data]
         white = k >= self.SPACE
@@ -214,7 +227,6 @@ def plan(histogram: Mapping[int, int], capacity: int = CAPACITY) -> list[tuple[i
     used = dict.fromkeys(left, 0)
     runs: list[tuple[int, int, int, int, int, int]] = []
     gaps: dict[int, list[tuple[int, int]]] = {}  # gap to (first sequence, sequences)
-    heap: list[int] = []
     bins = 0
 
     def put(length: int, first: int, many: int, each: int, offset: int) -> None:
@@ -224,10 +236,7 @@ def plan(histogram: Mapping[int, int], capacity: int = CAPACITY) -> list[tuple[i
 
     def opened(gap: int, first: int, many: int) -> None:
         if gap and many:
-            if gap not in gaps:
-                gaps[gap] = []
-                heapq.heappush(heap, gap)
-            gaps[gap].append((first, many))
+            gaps.setdefault(gap, []).append((first, many))
 
     large = sorted((n for n in left if 3 * n > capacity), reverse=True)
     for a in large:

@@ -34,15 +34,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def packed_digest(docs: DataFrame) -> DataFrame:
-    """Packing without the ids: their CRC-32 stands for them."""
-    cut = packing.pieces(docs, tokenizer_path()).select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
-    return packing.place(written(cut))
-
-
 @_query()
 def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packed_digest(_table(spark, folder, "documents"))
+    """Without the ids: their CRC-32 stands for them."""
+    cut = packing.pieces(_table(spark, folder, "documents"), tokenizer_path())
+    return packing.place(written(cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))))
 
 
 @_query()

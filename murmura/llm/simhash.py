@@ -11,6 +11,9 @@ Equal fingerprints are one before anything is compared. Within an anchor a spann
 given out, not all pairs; an anchor with more than `most` fingerprints is split into blocks, and every two
 blocks meet in a task of their own.
 
+`similar_groups` and `one_of_each` find near copies at a similarity of 0.8 by the same anchors, on fingerprints of
+samples of a text's shingles, with an exact check of every link.
+
 Defined cases: null and empty texts have fingerprint zero and are linked like any other; repeated rows get
 equal results; a null doc_id never names a component unless all its members have none; an empty table gives an
 empty table; other columns of the input are not carried.
@@ -27,13 +30,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from murmura.llm.common import map_batches, with_defaults, written
+from murmura.llm.common import among, beside, map_batches, with_defaults, written
 from murmura.llm.components import components
 
 SEED = 42
 SHINGLE = 3
 THRESHOLD = 3
 BITS = 31
+#: Near copies: words of a shingle, least similarity, fingerprints of a text, shingles in each one's sample.
+WORDS, LEAST, SAMPLES, SAMPLE = 5, 0.8, 12, 4
 _ODD = [np.uint64(sum(1 << i for i in range(BITS) if (i + 1) >> k & 1)) for k in range(5)]
 #: For each syndrome but zero, the flips of two bits that lead to the code words at distance two.
 _FLIPS = np.array(
@@ -72,8 +77,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return map_batches(rows, run, schema)
 
 
-def anchors(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(which fingerprint, cell) for every anchor within two bits, for both halves."""
+def anchors(fps: np.ndarray, threshold: int = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
+    """(which fingerprint, cell) for every anchor within the covering radius plus half the threshold, for both halves."""
     which, cells = [], []
     index = np.arange(len(fps))
     for half in (0, 1):
@@ -82,7 +87,8 @@ def anchors(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         for k, mask in enumerate(_ODD):
             syndrome |= (np.bitwise_count(x & mask).astype(np.int64) & 1) << k
         flip = np.where(syndrome > 0, np.uint64(1) << np.maximum(syndrome - 1, 0).astype(np.uint64), np.uint64(0))
-        off = np.flatnonzero(syndrome)
+        # Of one differing bit one half has none, and equal halves have one home.
+        off = np.flatnonzero(syndrome) if threshold > 1 else np.zeros(0, np.int64)
         far = x[off, None] ^ _FLIPS[syndrome[off]]
         found = np.concatenate([x ^ flip, far.ravel()])
         which.append(np.concatenate([index, np.repeat(off, 15)]))
@@ -131,7 +137,7 @@ def links(distinct: DataFrame, threshold: int = THRESHOLD, most: int = 50_000) -
 
     def spread(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
         fps = batch.column("fp").to_numpy(zero_copy_only=False)
-        which, cells = anchors(fps.view(np.uint64))
+        which, cells = anchors(fps.view(np.uint64), threshold)
         return {"fp": fps[which], "cell": cells}
 
     cells = map_batches(distinct.select("fp"), spread, cell_schema, small=8192)
@@ -178,15 +184,156 @@ def groups(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     return marked.join(of_fp, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
-def one_of_each(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """The rows of docs, all columns: of each component the row of the smallest doc_id, once.
+def _similar_rows(docs: DataFrame, words: int, samples: int, size: int) -> DataFrame:
+    """doc_id, text_hash, same (names the sequence of words) and the fingerprints of the text's samples."""
+    long = T.LongType()
+    schema = T.StructType(
+        [T.StructField("doc_id", long), T.StructField("text_hash", long), T.StructField("same", T.BinaryType()), T.StructField("fps", T.ArrayType(long))]
+    )
+
+    def run(batch: pa.RecordBatch) -> dict[str, list]:
+        same, fps = [], []
+        for text in batch.column("text").to_pylist():
+            found = _words(text)
+            same.append(xxhash.xxh128_digest(b" ".join(found)))
+            fps.append(sample_fingerprints(shingles(found, words), samples, size).view(np.int64))
+        return {"doc_id": batch.column("doc_id"), "text_hash": batch.column("text_hash"), "same": same, "fps": fps}
+
+    rows = with_defaults(docs, doc_id="long", text="string").withColumn("text_hash", F.xxhash64("text"))
+    return map_batches(rows, run, schema)
+
+
+def _words(text: str | None) -> list[bytes]:
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+
+
+def shingles(found: list[bytes], words: int) -> np.ndarray:
+    """Distinct 64-bit hashes of the word shingles (of all words, if there are fewer)."""
+    digest = xxhash.xxh64_intdigest
+    hashes = np.array([digest(w, SEED) for w in found], np.uint64)
+    n = min(words, len(hashes))
+    mixed = np.zeros(max(len(hashes) - n + 1, 0) if n else 1, np.uint64)
+    for i in range(n):
+        mixed = _mix(mixed ^ hashes[i : len(hashes) - n + 1 + i])
+    return np.unique(mixed)
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = x * np.uint64(0x9E3779B97F4A7C15)
+    return x ^ (x >> np.uint64(32))
+
+
+def sample_fingerprints(hashes: np.ndarray, samples: int, size: int) -> np.ndarray:
+    """SimHash of each sample: the `size` hashes that are least in an order of the sample's own."""
+    out = np.zeros(samples, np.uint64)
+    for k in range(samples):
+        order = _mix(_mix(hashes ^ np.uint64(k + 1)))
+        least = hashes[np.argpartition(order, size)[:size]] if len(hashes) > size else hashes
+        bits = np.unpackbits(_mix(least ^ np.uint64(k << 32)).astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        out[k] = np.packbits(2 * bits.sum(axis=0, dtype=np.int64) > len(least), bitorder="little").view("<u8")[0]
+    return out
+
+
+def _shingle_sets(docs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """same and the shingles of the texts whose hash is in `texts` (text_hash)."""
+    rows = docs.select(F.col("text").cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    wanted = among(rows, texts, "text_hash").join(texts.distinct(), "text_hash", "left_semi").select("text").distinct()
+    schema = T.StructType([T.StructField("same", T.BinaryType()), T.StructField("shingles", T.ArrayType(T.LongType()))])
+
+    def run(batch: pa.RecordBatch) -> dict[str, list]:
+        found = [_words(t) for t in batch.column("text").to_pylist()]
+        return {"same": [xxhash.xxh128_digest(b" ".join(f)) for f in found], "shingles": [shingles(f, words).view(np.int64) for f in found]}
+
+    return map_batches(wanted, run, schema, small=64).dropDuplicates(["same"])
+
+
+def _crowds(rows: DataFrame, hubs: int) -> DataFrame:
+    """rows (root, no, waiting) of groups of two or more with a member that waits, `hubs` of them or so marked `hub`."""
+    draw = F.xxhash64("no", "root", F.lit(hubs))
+    size = rows.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.min(draw).alias("least"), F.max("waiting").alias("any"))
+    among_all = rows.join(size.filter("n > 1 and any").drop("any"), "root")
+    drawn = (F.pmod(draw, F.col("n")) < hubs - 1) | (F.lit(hubs) >= F.col("n"))
+    return among_all.withColumn("hub", (draw == F.col("least")) | drawn).withColumn("last", F.lit(hubs) >= F.col("n")).drop("n", "least")
+
+
+def similar_links(docs: DataFrame, classes: DataFrame, words: int, least: float) -> DataFrame:
+    """a, b (numbers of classes) that share a sample's fingerprint, or one that differs in one bit, and are similar.
+
+    In each group of a fingerprint all classes are compared with one of it, the hub. Those not similar to it share
+    little but that sample, a common passage perhaps; they are looked for in groups that share a second sample.
+    There a round compares what is still without a partner with twice as many hubs as the round before, until it
+    has one or all were hubs.
+    """
+    rows = classes.select("no", F.posexplode("fps").alias("sample", "fp"))
+    distinct = written(rows.select("fp").distinct())
+    roots = components(links(distinct, 1)).select(F.col("a").alias("fp"), F.col("b").alias("root"))
+    groups = rows.join(roots, "fp", "left").select("no", "sample", F.coalesce("root", "fp").alias("root"), F.lit(True).alias("waiting"))
+    left = written(_crowds(groups, 1))
+    texts = left.select("no").distinct().join(classes, "no").select("no", "same", "text_hash")
+    sets = written(_shingle_sets(docs, texts.select("text_hash"), words).join(texts.select("no", "same"), "same").select("no", "shingles"))
+    found = left.select(F.col("no").alias("a"), F.col("no").alias("b")).limit(0)
+    hubs = 1
+    while not left.isEmpty():
+        to = left.filter("hub").select("root", F.col("no").alias("b"))
+        met = written(left.filter("waiting").select("root", F.col("no").alias("a")).join(to, "root").filter("a <> b"))
+        of_a = sets.select(F.col("no").alias("a"), F.col("shingles").alias("x"))
+        of_b = sets.select(F.col("no").alias("b"), F.col("shingles").alias("y"))
+        common = F.size(F.array_intersect("x", "y"))
+        alike = common >= least * (F.size("x") + F.size("y") - common)
+        pairs = met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        similar = written(pairs.join(of_a, "a").join(of_b, "b").filter(alike).select("a", "b"))
+        found = found.unionByName(similar)
+        both = similar.unionByName(similar.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        placed = met.join(both, ["a", "b"]).select("root", F.col("a").alias("no")).distinct().withColumn("placed", F.lit(True))
+        rest = left.filter("not last").join(placed, ["root", "no"], "left")
+        # The hub of the first round has met all of its group.
+        waiting = F.col("waiting") & F.col("placed").isNull()
+        rest = rest.withColumn("waiting", (waiting & ~F.col("hub")) if hubs == 1 else waiting).drop("placed", "hub", "last")
+        if hubs == 1:
+            unsettled = rest.groupBy("root").agg(F.max("waiting").alias("any")).filter("any").select("root")
+            other = classes.select("no", F.posexplode("fps").alias("second", "fp"))
+            rest = rest.join(unsettled, "root").join(other, "no").filter("second <> sample")
+            rest = rest.groupBy("no", "sample", F.xxhash64("root", "second", "fp").alias("root")).agg(F.max("waiting").alias("waiting"))
+        hubs *= 2
+        left = written(_crowds(rest, hubs))
+    return found
+
+
+def similar_groups(docs: DataFrame, words: int = WORDS, least: float = LEAST, samples: int = SAMPLES, size: int = SAMPLE) -> DataFrame:
+    """doc_id, text_hash and root: rows with one root are linked by texts of a Jaccard similarity of `least` or more.
+
+    The similarity is that of the sets of shingles of `words` words, lower-cased. A fingerprint of the whole text
+    differs in some ten bits at a similarity of 0.8, beyond what anchors can cover; so a text has the fingerprints
+    of several small samples of its shingles, of which one at least is equal in all but a few similar pairs, and
+    links are those that the exact similarity confirms.
+    """
+    marked = written(_similar_rows(docs, words, samples, size))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), "text_hash")
+    least_place = F.min(F.struct(place.alias("place"), "fps")).alias("m")
+    classes = marked.groupBy("same").agg(least_place).select("same", F.col("m.place.text_hash").alias("text_hash"), "m.fps")
+    classes = written(classes.withColumn("no", F.monotonically_increasing_id()))
+    roots = components(similar_links(docs, classes, words, least)).select(F.col("a").alias("no"), F.col("b").alias("root"))
+    named = classes.join(roots, "no", "left").select("same", F.coalesce("root", "no").alias("root"))
+    return marked.join(named, "same").select("doc_id", "text_hash", "root")
+
+
+def one_of_each(docs: DataFrame, words: int = WORDS, least: float = LEAST) -> DataFrame:
+    """The rows of docs, all columns: of each group of similar texts the row of the smallest doc_id, once.
 
-    Rows without an id come last; equal ids are told apart by the hash of their text.
+    Rows without an id come last; equal ids are told apart by the hash of their text. Only rows of groups of two or
+    more are dealt; all others stay where they are.
     """
     doc = F.col("doc_id").cast("long")
-    key = {"__none": doc.isNull(), "__id": F.coalesce(doc, F.lit(0)), "__text": F.xxhash64(F.col("text").cast("string"))}
-    found = groups(docs, threshold).select("root", F.struct(doc.isNull().alias("none"), F.coalesce(doc, F.lit(0)).alias("id"), "text_hash").alias("place"))
-    least = found.groupBy("root").agg(F.min("place").alias("p"))
-    kept = least.select(F.col("p.none").alias("__none"), F.col("p.id").alias("__id"), F.col("p.text_hash").alias("__text"))
-    # The join and the removal of repeated rows share one dealing of the texts.
-    return docs.withColumns(key).join(kept, list(key), "left_semi").dropDuplicates(list(key)).drop(*key)
+    place = F.struct(doc.isNull().alias("none"), F.coalesce(doc, F.lit(0)).alias("id"), "text_hash")
+    found = similar_groups(docs, words, least).select("root", place.alias("place"))
+    grouped = found.groupBy("root").agg(F.min("place").alias("p"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    grouped = written(grouped.select("root", "p"))
+    touched = written(found.join(grouped, "root").select(F.xxhash64("place").alias("__key"), (F.col("place") == F.col("p")).alias("stays"), "place"))
+    own = F.struct(doc.isNull().alias("none"), F.coalesce(doc, F.lit(0)).alias("id"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"))
+    keyed = docs.withColumn("__place", own).withColumn("__key", F.xxhash64("__place"))
+    keys = touched.select("__key")
+    maybe = among(keyed, keys, "__key")
+    stay = maybe.join(touched.filter("stays").select(F.col("place").alias("__place")).distinct(), "__place", "left_semi").dropDuplicates(["__place"])
+    apart = maybe.join(touched.select(F.col("place").alias("__place")).distinct(), "__place", "left_anti")
+    rest = beside(keyed, keys, "__key")
+    return rest.unionByName(stay).unionByName(apart).drop("__place", "__key")

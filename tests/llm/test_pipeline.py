@@ -1,12 +1,15 @@
 """Every stage against a brute-force version on its own input, and the whole run."""
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 import corpus_pipeline
-from murmura.llm import quality
+from murmura.llm import packing, quality
+from murmura.llm.queries import tokenizer_path
 from tests.llm import test_decontaminate, test_linededup, test_packing, test_quality, test_simhash
 
 FOLDER = "/root/testdata/sf0.001"
@@ -50,9 +53,9 @@ def test_line_dedup(stages):
 
 
 def test_near_dedup(stages):
+    """All pairs of texts at five words and 0.8: of each component the smallest id stays."""
     texts = [(r[0], r[1]) for r in rows(stages[2])]
-    marked = [(d, test_simhash.brute_fingerprint(t)) for d, t in texts]
-    least = {d for (d, _), c in zip(marked, test_simhash.brute_components(marked)) if d == c}
+    least = {texts[c][0] for c in test_simhash.similar_components([t for _, t in texts])[0]}
     assert rows(stages[3]) == [r for r in rows(stages[2]) if r[0] in least]
 
 
@@ -63,7 +66,20 @@ def test_decontamination(spark, stages):
 
 
 def test_packing_stage(stages):
+    """Pieces and places, and the token ids themselves: the sequences decode to the texts."""
     test_packing.check(stages[5].collect(), [(r[0], r[1]) for r in rows(stages[4])])
+    texts = {r[0]: r[1] for r in rows(stages[4])}
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    parts = defaultdict(dict)
+    for r in packing.sequences(stages[5]).collect():
+        ids = np.frombuffer(bytes(r.ids), "<u4")
+        assert len(ids) <= packing.CAPACITY
+        for p in r.pieces:
+            parts[p.doc_id][p.piece] = ids[p.offset : p.offset + p.length]
+    assert parts.keys() == texts.keys()
+    for doc, found in parts.items():
+        ids = np.concatenate([found[i] for i in sorted(found)])
+        assert ids[-1] == 0 and tokenizer.encode(texts[doc], add_special_tokens=False).ids == ids[:-1].tolist()
 
 
 def test_run(spark, stages):

@@ -1,5 +1,6 @@
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -109,3 +110,88 @@ def test_rows_without_an_id_are_told_apart_by_their_text(make_docs):
     docs = make_docs(["alpha beta gamma", "delta epsilon zeta", "alpha beta gamma", "eta theta iota", "eta theta iota"], [None, None, None, 4, None])
     kept = sorted((r.doc_id is None, r.text) for r in simhash.one_of_each(docs).collect())
     assert kept == [(False, "eta theta iota"), (True, "alpha beta gamma"), (True, "delta epsilon zeta")]
+
+
+def jaccard_sets(texts, words=5):
+    out = []
+    for t in texts:
+        w = (t or "").encode().lower().split()
+        n = min(words, len(w))
+        out.append({tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if n else {()})
+    return out
+
+
+def similar_components(texts, least=0.8, words=5):
+    """All pairs: (root by text, pairs of different texts at the similarity or above)."""
+    sets = jaccard_sets(texts, words)
+    by_shingle = {}
+    for i, s in enumerate(sets):
+        for x in s:
+            by_shingle.setdefault(x, []).append(i)
+    root, pairs = list(range(len(texts))), set()
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, s in enumerate(sets):
+        met = Counter(j for x in s for j in by_shingle[x] if j < i)
+        for j, k in met.items():
+            if k >= least * (len(s) + len(sets[j]) - k):
+                root[max(find(i), find(j))] = min(find(i), find(j))
+                if s != sets[j]:
+                    pairs.add((j, i))
+    return [find(i) for i in range(len(texts))], pairs
+
+
+def edited(words, rng, share):
+    """A copy with some words replaced, and some lines' worth of words left out."""
+    return [rng.choice(["neu", "andr", "etwas"]) + str(rng.randrange(99)) if rng.random() < share else w for w in words]
+
+
+def test_recall_of_near_copies(make_docs):
+    """Copies edited in up to two of a hundred words: links found against all pairs."""
+    rng = random.Random(7)
+    texts = []
+    for _ in range(60):
+        base = [f"w{rng.randrange(3000)}" for _ in range(rng.randrange(60, 400))]
+        texts.append(" ".join(base))
+        texts += [" ".join(edited(base, rng, rng.choice([0.0, 0.005, 0.01, 0.02]))) for _ in range(4)]
+        texts.append(" ".join(base[: int(len(base) * 0.85)]))
+    rng.shuffle(texts)
+    want, pairs = similar_components(texts)
+    rows = simhash.similar_groups(make_docs(texts)).collect()
+    root = {r.doc_id: r.root for r in rows}
+    caught = sum(root[i] == root[j] for i, j in pairs)
+    assert len(pairs) > 300 and caught >= 0.98 * len(pairs)
+    assert all(want[i] == want[j] for i in range(len(texts)) for j in range(i) if root[i] == root[j])
+
+
+def test_near_copies_of_the_table(corpus):
+    docs, texts = corpus
+    want, pairs = similar_components([t for _, t in texts])
+    root = {r.doc_id: r.root for r in simhash.similar_groups(docs).collect()}
+    ids = [d for d, _ in texts]
+    assert sum(root[ids[i]] == root[ids[j]] for i, j in pairs) >= 0.9 * len(pairs)
+    kept = {r.doc_id for r in simhash.one_of_each(docs).collect()}
+    assert len(kept) == len(set(root.values())) and {min(d for d in ids if root[d] == r) for r in root.values()} == kept
+
+
+def test_one_of_each_on_odd_rows(odd_docs, make_docs):
+    rows = simhash.one_of_each(odd_docs).collect()
+    texts = {(r.text or "").encode().lower().decode() for r in odd_docs.collect()}
+    assert sorted(r.doc_id for r in rows if r.doc_id is not None) == [0, 3, 4, 5, 6, 7, 9]  # none, "", blanks: one; "same text here": one
+    assert sum(r.doc_id is None for r in rows) == 1 and len(texts) > len(rows)
+    assert simhash.one_of_each(make_docs([])).collect() == []
+    again = make_docs(["a b c d e f", "a b c d e f", "x"], [1, 1, 1])
+    assert sorted(r.text for r in simhash.one_of_each(again).collect()) == ["a b c d e f", "x"]
+
+
+def test_a_group_of_many_similar_texts(make_docs):
+    """A third of all texts are near copies of one; classes in one group that are not similar go on without the hub."""
+    rng = random.Random(3)
+    base = [f"b{i}" for i in range(200)]
+    texts = [" ".join(edited(base, rng, 0.004)) for _ in range(150)] + [" ".join(f"u{i}x{j}" for j in range(80)) for i in range(300)]
+    kept = [r.doc_id for r in simhash.one_of_each(make_docs(texts)).collect()]
+    assert sum(d < 150 for d in kept) == len(set(similar_components(texts[:150])[0])) and sum(d >= 150 for d in kept) == 300
