@@ -11,6 +11,11 @@ def misses(texts: DataFrame, table: DataFrame, key: str = "text_norm") -> DataFr
     return texts.select(key).distinct().join(table.select(key), key, "left_anti")
 
 
+def with_vectors(texts: DataFrame, table: DataFrame, key: str = "text_norm", vector: str = "embedding") -> DataFrame:
+    """Every text with its vector from the table, null where the table lacks it: each text is embedded once, and joined back."""
+    one = table.groupBy(key).agg(F.first(vector).alias(vector))
+    return texts.drop(vector).join(one, key, "left")
+
 
 def retention(
     table: DataFrame, now: Column, ttl_hours: int, max_entries: int, key: str = "text_norm"

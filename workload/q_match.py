@@ -12,6 +12,7 @@ from murmura.operators import embeddings as E
 from murmura.operators import learn as LE
 from murmura.operators import match as M
 from murmura.operators import metrics as ME
+from murmura.operators import vectormatch as VM
 from murmura.operators import within as W
 from murmura.operators.schema_ops import align
 from murmura.plans import normalize as N
@@ -98,6 +99,48 @@ def match_identical(t):
     return M.match_identical(t.pains, active(t.store)).select("pain_id", "canonical_id", "similarity_score", "method")
 
 
+def vector_roles(t):
+    """Vectors of even ids as pains, of odd ids as canonicals; texts are shared by some, contexts follow the label."""
+    label, vec = F.col("label"), F.col("vec_id")
+    rows = t.embeddings.select(
+        "vec_id", F.col("embedding").cast("array<double>").alias("embedding"),
+        F.concat(F.lit("c"), (label % 2).cast("string")).alias("categoria"),
+        F.when(vec % 5 == 4, F.lit(K.UNKNOWN)).otherwise(F.concat(F.lit("f"), label.cast("string"))).alias("familia"),
+        F.concat(F.lit("p"), (vec % 3).cast("string")).alias("produto"),
+        F.concat(F.lit("texto "), F.when(vec % 7 == 0, F.floor(vec / 14)).otherwise(vec).cast("string")).alias("txt"),
+    )
+    pains = rows.filter("vec_id % 2 = 0").withColumnRenamed("txt", "dor_especifica")
+    canonicals = rows.filter("vec_id % 2 = 1").select(
+        F.col("vec_id").cast("string").alias("id"), F.col("txt").alias("canonical_text"), "embedding", "categoria", "familia", "produto",
+        F.lit("2024-01-01").cast("date").alias("creation_date"), (0.5 + (vec % 6) / 10.0).alias("confidence_score"), (vec % 9).alias("usage_count"),
+    )
+    return pains, canonicals
+
+
+def _vector_sql() -> str:
+    arms = []
+    for no, name, factor in K.TIERS:
+        same = {1: "p.familia = c.familia and p.produto = c.produto and p.familia <> 'INCONCLUSIVO'",
+                2: "p.familia = c.familia and p.familia <> 'INCONCLUSIVO'", 3: "true"}[no]
+        arms.append(f"select p.vec_id, c.vec_id cid, {no} tier, '{name}' lvl, {K.INITIAL_THRESHOLDS[name]}e0 least_ok, s, p.txt = c.txt same, c.vec_id % 6 q, c.vec_id % 9 u, {factor}e0 tf "
+                    f"from pairs where {same}")
+    return f"""with e as (select vec_id, embedding::double[] v, 'c' || (label % 2) categoria, case when vec_id % 5 = 4 then 'INCONCLUSIVO' else 'f' || label end familia,
+  'p' || (vec_id % 3) produto, 'texto ' || case when vec_id % 7 = 0 then vec_id // 14 else vec_id end txt from embeddings),
+pairs as (select p, c, greatest(0e0, least(1e0, (list_cosine_similarity(p.v, c.v) + 1) / 2)) s from e p join e c on p.categoria = c.categoria where p.vec_id % 2 = 0 and c.vec_id % 2 = 1),
+offers as ({' union all '.join(arms)}),
+adj as (select *, least(1e0, case when same then 1e0 else s end * (0.8e0 + 0.2e0 * (0.5e0 + q / 10e0)) * case when u > 5 then 1.05e0 else 1e0 end * tf
+  * case when same then 1e0 when s between 0.6e0 and 0.8e0 then {K.METHOD_FACTORS['embedding_plus_llm']}e0 else {K.METHOD_FACTORS['embeddings_only']}e0 end) a from offers),
+best as (select * from (select *, row_number() over (partition by vec_id order by tier, a desc, cid::varchar) rn from adj where a >= least_ok) where rn = 1)
+select e.vec_id, b.cid::varchar canonical_id, round(b.a + 1e-9, 6) similarity_score, b.lvl context_level from e left join best b on b.vec_id = e.vec_id where e.vec_id % 2 = 0"""
+
+
+@query(_vector_sql())
+def match_vectors(t):
+    """Every vector of a pain with the canonicals of its context, by balls; the SQL compares all pairs."""
+    pains, canonicals = vector_roles(t)
+    return VM.match_vectors(pains, canonicals).select("vec_id", "canonical_id", r6("similarity_score").alias("similarity_score"), "context_level")
+
+
 CREATED_SQL = """firsts as (select *, row_number() over (partition by categoria, dor_especifica order by pain_id) rn from pains where confidence_score >= 0.6),
 made as (select lower(left(categoria, 4) || '_' || left(familia, 4) || '_' || md5(lower(dor_especifica || chr(31) || categoria || chr(31) || familia))) id,
   pain_id, dor_especifica, categoria, familia, produto, confidence_score from firsts where rn = 1)"""
