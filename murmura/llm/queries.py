@@ -93,83 +93,47 @@ URL_RULES = [
 ]
 
 
-#: The small labelled URL table. Hosts and words are made up; none is taken from `pages`.
-LABELLED_URLS = """
-block https://www.casino-royal.example.org/en/12
-block http://lucky-casino.example.net/play
-block https://m.best-casino-win.example.com/fr/8?page=2
-block https://win-big.example.org/de/31
-block https://www.cheap-viagra.example.com/en/7
-block http://pills-online.example.net/es/44
-block https://cheap-meds.example.org/en/5.html
-block https://blog.diet-pills.example.com/fr/91
-block https://spam-links.example.net/en/3
-block http://www.link-farm.example.com/de/60
-block https://seo-spam.example.org/es/18
-block https://content-farm.example.net/en/77#top
-block https://m.free-bets-now.example.com/en/23
-block http://sport-bets.example.org/fr/14
-block https://www.free-money.example.net/en/2
-block https://ads-server.example.com/click
-block http://m.track-ads.example.org/en/41?utm_source=feed
-block https://ad-track.example.net/es/6
-block https://www.adult-chat.example.com/en/9
-block http://adult-video.example.org/de/52
-block https://blog.xxx-adult.example.net/fr/33
-block https://hot-x.example.com/en/70
-allow https://www.gardenclub.example.org/en/12
-allow http://blog.mountains.example.net/play
-allow https://m.citylibrary.example.com/fr/8?page=2
-allow https://thetheatre.example.org/de/31
-allow https://www.weather.example.com/en/7
-allow http://cooking.example.net/es/44
-allow https://history.example.org/en/5.html
-allow https://blog.travelling.example.com/fr/91
-allow https://thenation.example.net/en/3
-allow http://www.university.example.com/de/60
-allow https://science.example.org/es/18
-allow https://m.orchestra.example.net/en/77#top
-allow https://m.railways.example.com/en/23
-allow http://herbarium.example.org/fr/14
-allow https://www.dictionary.example.net/en/2
-allow https://museum.example.com/click
-allow http://m.thelighthouse.example.org/en/41?utm_source=feed
-allow https://astronomy.example.net/es/6
-allow https://www.architect.example.com/en/9
-allow http://football.example.org/de/52
-allow https://blog.knitting.example.net/fr/33
-allow https://botany.example.com/en/70
-allow https://www.mathematics.example.net/en/19
-allow http://blog.hiking.example.org/de/27
-allow https://thearchive.example.net/en/81/
-allow https://m.northernlights.example.org/en/64
-allow http://geology.example.net/es/90?page=2&ref=x
-allow https://www.translation.example.com/fr/15.html
-allow https://blog.therapist.example.org/en/36
-allow https://m.theology.example.net/en/58#top
-allow https://stationery.example.com/de/43
-allow http://www.orchards.example.org/es/29
-allow https://blog.ethnology.example.net/en/62
-allow https://the-other-shore.example.com/en/88
-allow https://what-next.example.net/en/17
-allow https://hat-maker.example.org/fr/42
-allow https://thatched-roofs.example.com/de/11
-allow http://www.athletics.example.net/es/26
-allow https://southern-coast.example.org/en/73
-allow https://blog.mathematician.example.com/en/39?page=3
-allow https://path-finder.example.net/play
-allow https://m.birthday.example.org/en/14.html
-allow https://smith-and-sons.example.net/fr/65
-allow https://www.health-centre.example.com/de/8
-allow https://nothing-else.example.org/es/57
-allow http://blog.stationmaster.example.net/en/24
-"""
+#: The words of the labelled table. Those to block by the usual headings of public block lists (gambling,
+#: medicine, adult, spam, advertising, scams, piracy), those to allow from everyday life in four languages.
+BLOCKED_WORDS = """
+casino poker roulette jackpot slots bingo lottery betting bets wager sportsbook blackjack
+viagra cialis pills pharmacy steroids painkillers slimming botox
+porn adult xxx escort webcam nude sex hentai
+spam backlinks linkfarm clickbait seo doorway contentfarm bulkmail
+ads adserver banner popup tracker clicks affiliate retargeting
+phishing giveaway payday getrich freemoney pyramid lottowin cryptodouble
+warez torrent keygen nulled cracked stream4free
+""".split()
+BLOCKED_WITH = "best cheap free online top live vip mega buy hot win easy".split()
+ALLOWED_WORDS = """
+garden museum library theatre weather cooking history travel university science orchestra railway dictionary astronomy
+architecture football knitting botany mathematics hiking archive geology translation health school village council
+river mountain island harbour bakery kitchen furniture bicycle camera painting sculpture poetry novel newspaper
+radio chess sailing climbing swimming athletics hospital dentist insurance bank tax law parliament election embassy
+church monastery castle bridge tunnel energy water forest farm orchard vineyard cheese bread coffee tea chocolate
+physics chemistry biology medicine economics philosophy psychology linguistics software database compiler network
+nothing something another weather northern southern eastern western thirty thousand father mother brother together
+garten schule kirche zeitung wetter reise gesundheit rathaus verein buch musik wissenschaft handwerk
+jardin ecole mairie journal voyage cuisine sante musique recherche theatre
+escuela iglesia periodico viaje cocina salud biblioteca universidad ciencia
+""".split()
+ALLOWED_WITH = "the city national old new community open first blue green county central".split()
+_TOPS = "com org net info example.org example.com".split()
+_LANGUAGES = "en de fr es".split()
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    lines = F.explode(F.split(F.lit(LABELLED_URLS.strip()), "\n"))
-    pair = F.split(F.col("line"), " ")
-    return spark.range(1).select(lines.alias("line")).select(pair[1].alias("url"), (pair[0] == "block").alias("block"))
+    """A small made-up labelled table, about as many to block as to allow: words alone, and beside one before or after."""
+    rows = []
+    for block, words, more, rounds in ((True, BLOCKED_WORDS, BLOCKED_WITH, 2), (False, ALLOWED_WORDS, ALLOWED_WITH, 1)):
+        for i, word in enumerate(words * rounds):
+            other, second = more[(5 * i + i // len(words)) % len(more)], words[(7 * i + 3 + i // len(words)) % len(words)]
+            for j, name in enumerate((word, f"{other}-{word}", f"{word}-{other}", f"{word}{second}", f"{word}-{second}")):
+                k = 5 * i + j
+                prefix = ("", "www.", "m.", "blog.")[k % 4]
+                path = (f"/{_LANGUAGES[k % 4]}/{k}", f"/{k}.html", f"/{_LANGUAGES[k % 4]}/{k}?page={j}", "/")[(k // 4) % 4]
+                rows.append((f"{('https', 'http')[k % 3 == 0]}://{prefix}{name}.{_TOPS[k % len(_TOPS)]}{path}", block))
+    return spark.createDataFrame(rows, "url string, block boolean")
 
 
 @_query()

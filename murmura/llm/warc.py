@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import math
 import struct
 import uuid
 import zipfile
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from murmura.llm.common import shared_folder, written
+from murmura.llm.common import among, beside, shared_folder, written
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 #: Payloads from this size on are deduplicated.
@@ -127,8 +128,12 @@ def plan(pages: DataFrame) -> DataFrame:
         .filter("n > 1")
         .select("digest", "size", "keeper")
     )
+    # Few payloads have a partner, so only those that may have one are dealt.
+    kept = written(kept)
+    alone = beside(rows, kept, "digest").withColumn("keeper", F.lit(None).cast("long"))
+    paired = among(rows, kept, "digest").join(kept, ["digest", "size"], "left")
     refers = F.when(F.col("page_id").isNull() | (F.col("page_id") != F.col("keeper")), F.col("keeper"))
-    return rows.join(kept, ["digest", "size"], "left").withColumn("refers_to", refers).drop("keeper")
+    return alone.unionByName(paired).withColumn("refers_to", refers).drop("keeper")
 
 
 def write(pages: DataFrame, folder: str | None = None, most: int = 64 << 20) -> DataFrame:
@@ -240,8 +245,9 @@ def entries(archives: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for path in (p for batch in batches for p in batch.column("path").to_pylist()):
             z = Zip(path)
-            base, size = z.stored(DATA)
-            lines = [json.loads(x) for x in z.range(*z.stored(INDEX)).decode().split("\n") if x]
+            with z.file:
+                base, size = z.stored(DATA)
+                lines = [json.loads(x) for x in z.range(*z.stored(INDEX)).decode().split("\n") if x]
             if any(x["offset"] + x["length"] > size for x in lines):
                 raise ValueError(f"{path}: the index points outside the archive")
             columns = [[path] * len(lines), [base + x["offset"] for x in lines], [x["length"] for x in lines]]
@@ -250,11 +256,18 @@ def entries(archives: DataFrame) -> DataFrame:
     return archives.select("path").repartition("path").mapInArrow(run, ENTRIES)
 
 
-def read(archives: DataFrame, stretch: int = 4 << 20) -> DataFrame:
-    """All records of the archives; a task takes stretches of files, so a large archive is many tasks' work."""
+def read(archives: DataFrame, stretch: int = 4 << 20, a_task: int = 64 << 20) -> DataFrame:
+    """All records of the archives; a task takes stretches of files, so a large archive is many tasks' work.
+
+    The number of tasks is named, by the archives' bytes: the index rows that are dealt are so small that adaptive
+    execution would bring them together, whatever they point at.
+    """
     arrow = to_arrow_schema(RECORDS)
     place = [F.col("path"), F.floor(F.col("offset") / stretch)]
-    spread = entries(archives).repartition(*place).sortWithinPartitions("path", "offset")
+    total = archives.agg(F.sum("bytes")).first()[0] or 0
+    usual = int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(math.ceil(total / a_task), min(usual, math.ceil(total / stretch)), 1)
+    spread = entries(archives).repartition(tasks, *place).sortWithinPartitions("path", "offset")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path, z = None, None
@@ -263,6 +276,8 @@ def read(archives: DataFrame, stretch: int = 4 << 20) -> DataFrame:
                 out = []
                 for row in batch.slice(at, 100).to_pylist():
                     if row["path"] != path:
+                        if z is not None:
+                            z.file.close()
                         path = row["path"]
                         z = Zip(path)
                     out.append(parse_record(z.range(row["offset"], row["length"])))

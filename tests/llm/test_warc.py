@@ -2,8 +2,10 @@ import hashlib
 import io
 import os
 import zipfile
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from murmura.llm import warc
 from murmura.llm.queries import op8_warc
@@ -96,3 +98,19 @@ def test_whole_table(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     rows = [(r.page_id, r.url, r.html) for r in pages.collect()]
     assert sorted((tuple(r) for r in op8_warc(spark, "/root/testdata/sf0.001").collect()), key=str) == brute(rows)
+
+
+def test_a_large_archive_is_read_by_many_tasks(spark, tmp_path):
+    """One archive; adaptive execution would bring its few index rows into one task."""
+    rows = [(i, f"http://h/{i}", f"<p>{i}</p>" + "x" * (i * 37 % 400)) for i in range(300)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    archives = warc.write(pages, str(tmp_path / "a"))
+    assert archives.count() == 1
+    kept = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    try:
+        read = warc.read(archives, stretch=1 << 10, a_task=4 << 10).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept)
+    tasks = Counter(r.task for r in read)
+    assert len(read) == 300 and len(tasks) >= 6 and max(tasks.values()) < 150
