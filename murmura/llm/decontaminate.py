@@ -5,8 +5,9 @@ words of an item; an item of fewer words is one window. The automaton runs over
 is scanned once; hits are mapped back to character offsets of the original text.
 
 The automaton is built in each Python worker from the items' words, which are broadcast. Their size is
-checked: items are dealt by hash into groups of about `max_bytes` of text, each with its own automaton and
-pass, so a huge benchmark means more passes and never a larger automaton.
+checked: items, large ones in pieces that overlap by a window, are dealt by hash into groups of about `max_bytes` of
+text, each with its own automaton and pass, so a huge benchmark means more passes and never a larger automaton. The
+driver holds one group at a time.
 
 Defined cases: null texts have no words and no hits; items without words never occur; items that repeat an
 id count as one; a null item id is the id "null"; empty tables give no rows or no hits.
@@ -18,12 +19,13 @@ import re
 from collections.abc import Iterator, Sequence
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from murmura.llm.common import ASCII_LOWER, ASCII_UPPER
+from murmura.llm.common import ASCII_LOWER, ASCII_UPPER, written
 
 WINDOW = 10
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -81,12 +83,36 @@ def _merge(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _groups(benchmark: DataFrame, max_bytes: int) -> list[list[tuple[str, list[bytes]]]]:
+def _pieces(benchmark: DataFrame, window: int, most: int) -> DataFrame:
+    """item_id, text: items whose text has more than `most` bytes in pieces that share window - 1 words, so no window is lost."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item_id"), F.col("text").cast("string").alias("text"))
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple[str, str]] = []
+            for item, text in zip(batch.column("item_id").to_pylist(), batch.column("text").to_pylist()):
+                words = words_of(text)
+                at = 0
+                while at < len(words):
+                    size = np.cumsum([len(w) + 1 for w in words[at : at + most]])
+                    n = max(int(np.searchsorted(size, most)), 2 * window)
+                    out.append((item, b" ".join(words[at : at + n]).decode("utf-8", "surrogatepass")))
+                    if at + n >= len(words):
+                        break
+                    at += n - window + 1
+            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.string()) for i in (0, 1)], names=["item_id", "text"])
+
+    return items.filter("text IS NOT NULL").mapInArrow(run, items.schema)
+
+
+def _groups(benchmark: DataFrame, window: int, max_bytes: int) -> Iterator[list[tuple[str, str]]]:
+    """The benchmark in groups of about `max_bytes`; the driver holds one at a time, and tasks cut them into words."""
+    pieces = written(_pieces(benchmark, window, max(max_bytes // 16, 1)))
+    total = pieces.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // max_bytes))
-    group = F.pmod(F.xxhash64("item_id"), F.lit(n))
-    return [[(r.item_id, words_of(r.text)) for r in items.filter(group == g).toLocalIterator()] for g in range(n)]
+    group = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
+    for g in range(n):
+        yield [(r.item_id, r.text) for r in pieces.filter(group == g).toLocalIterator()]
 
 
 def scan(
@@ -115,11 +141,11 @@ def scan(
         .withColumn("hits", F.array().cast(HITS))
         .withColumn("items", F.array().cast("array<string>"))
     )
-    for items in _groups(benchmark, max_bytes):
+    for items in _groups(benchmark, window, max_bytes):
         sent = docs.sparkSession.sparkContext.broadcast(items)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            scanner = Scanner(sent.value, window)
+            scanner = Scanner([(item, words_of(text)) for item, text in sent.value], window)
             for whole in batches:
                 for at in range(0, whole.num_rows, 1000):
                     batch = whole.slice(at, 1000)

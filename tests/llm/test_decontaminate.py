@@ -64,3 +64,14 @@ def test_odd_texts(spark, odd_docs, make_docs):
     assert clean.columns == odd_docs.columns and clean.count() == len(texts) - 3
     assert decontaminate.scan(make_docs([]), bench).collect() == []
     assert decontaminate.clean_documents(odd_docs, bench.limit(0)).count() == len(texts)
+
+
+def test_a_large_item_in_pieces(spark, make_docs):
+    """An item far above the size of a group: windows over the places where it is cut are found, and no shorter ones."""
+    words = [f"w{i}" for i in range(900)]
+    bench = spark.createDataFrame([("big", " ".join(words)), ("small", "just four words here")], "item_id string, text string")
+    texts = [" ".join(words[i : i + 10]) for i in range(0, 891)] + [" ".join(words[i : i + 9]) for i in range(0, 890, 7)] + ["JUST four, words here"]
+    rows = decontaminate.scan(make_docs(texts), bench, max_bytes=1000).collect()
+    found = {r.doc_id: list(r["items"]) for r in rows}
+    assert all(found[i] == ["big"] for i in range(891)) and found[len(texts) - 1] == ["small"]
+    assert all(found[i] == [] for i in range(891, len(texts) - 1))
