@@ -11,9 +11,11 @@ that begin with a phrase are an interval. A phrase of m + 1 words is where an in
 intervals that psi leads to: the interval itself is the phrase without its last word (so this extends to the right),
 the one reached by psi the phrase without its first (to the left), and both come with their counts.
 
-Sums. Pairs of words are summed over the shards, and only pairs that are frequent in the whole corpus go back to the
-shards, where phrases of three and four words are enumerated if all their pairs are frequent. Phrases are named by
-the ids of their parts, so no words are shuffled.
+Sums. Pairs of words are summed over the shards first. Phrases of three and four words are given out only if all
+their pairs may be frequent in the whole corpus, by a bitmap of the frequent pairs. The bitmap has a fixed number of
+bits, which bounds what is broadcast; the fuller it is, the fewer rare phrases it keeps back, while sums and results
+stay the same. Phrases are named by the ids of their words and dealt by their first word, frequent first words also by
+what follows, so that none is one task's work; a shard gives out a row of arrays for each hand that is dealt.
 
 Defined cases: null texts are empty; a null language is `und`; texts without words add nothing; repeated rows count
 each; a text of any length is read in bounded pieces; ties are broken by frequency, then by phrase, in UTF-8 byte
@@ -54,17 +56,27 @@ SHARDS = T.StructType(
         T.StructField("numbers", T.BinaryType()),
     ]
 )
-INDEX = T.StructType([T.StructField("shard", T.LongType()), T.StructField("bwt", T.BinaryType()), T.StructField("ids", T.BinaryType())])
-PAIRS = T.StructType([T.StructField(n, T.LongType()) for n in ("own", "left", "right", "n")])
-LONGER = T.StructType([T.StructField(n, T.LongType()) for n in ("p1", "p2", "p3", "n")])
+INDEX = T.StructType([T.StructField(n, T.BinaryType()) for n in ("bwt", "ids", "splits")])
+#: Bits of the map of frequent phrases.
+BITS = 1 << 26
+#: Words of a frequency above this have their phrases dealt apart; hands dealt for each shuffle partition.
+HOT, HANDS = 1 << 20, 8
 
 
 def _pack(numbers: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(numbers.tobytes())
+    """Compressed byte by byte of significance: most upper bytes are alike."""
+    planes = np.ascontiguousarray(numbers.view(np.uint8).reshape(len(numbers), numbers.itemsize).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
 def _unpack(data: bytes, kind: type) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def _without_runs(numbers: np.ndarray) -> np.ndarray:
+    """Runs of breaks say no more than one."""
+    return numbers[np.append(True, (numbers[1:] != 0) | (numbers[:-1] != 0))]
 
 
 class _Numbers(dict):
@@ -91,9 +103,14 @@ class _Shard:
         self.numbers.append(0)
 
     def row(self, shard: int, lang: str) -> dict:
-        numbers = np.array(self.numbers, np.int32)
-        counts = np.bincount(numbers, minlength=len(self.of))
-        return {"shard": shard, "lang": lang, "words": list(self.of)[1:], "counts": counts[1:], "numbers": _pack(numbers)}
+        """Words are numbered by their count, so that frequent ones have small numbers."""
+        used = _without_runs(np.array(self.numbers, np.int32))
+        counts = np.bincount(used, minlength=len(self.of))[1:]
+        order = np.argsort(-counts, kind="stable")
+        number = np.zeros(len(self.of), np.int32)
+        number[order + 1] = np.arange(1, len(order) + 1)
+        words = list(self.of)[1:]
+        return {"shard": shard, "lang": lang, "words": [words[i] for i in order], "counts": counts[order], "numbers": _pack(number[used])}
 
 
 def shards(docs: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
@@ -132,24 +149,14 @@ def shards(docs: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
     return docs.select(lang, text).filter(F.octet_length("text") > 0).mapInArrow(run, SHARDS)
 
 
-def _summed(rows: DataFrame, key: list[str], least: int) -> DataFrame:
-    """rows (own: shard and number in it, n) with the total `f` of their key and its `id`, the least own; rare keys go.
-
-    A key has a row for each shard at most.
-    """
-    same = Window.partitionBy(*key)
-    return rows.withColumns({"f": F.sum("n").over(same), "id": F.min("own").over(same)}).filter(F.col("f") >= least)
-
-
-def _ids_of_shards(summed: DataFrame) -> DataFrame:
-    """shard, numbers and ids of what is frequent in it: no more than a shard holds."""
-    pair = F.struct((F.col("own").bitwiseAND(F.lit(0xFFFFFFFF))).cast("int").alias("number"), "id")
-    return summed.groupBy(F.shiftright("own", 32).alias("shard")).agg(F.collect_list(pair).alias("known"))
-
-
-def _known(column: pa.Array, i: int) -> tuple[np.ndarray, np.ndarray]:
-    pairs = column[i].values
-    return pairs.field("number").to_numpy(), pairs.field("id").to_numpy()
+def _words(shards: DataFrame, least: int) -> DataFrame:
+    """own (shard and number there), lang, word, frequency f and id (the least own) of frequent words, per shard."""
+    listed = shards.select("shard", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("i", "w"))
+    rows = listed.select(
+        "lang", F.col("w.words").alias("word"), F.col("w.counts").alias("n"), (F.shiftleft("shard", 32) + F.col("i") + 1).alias("own")
+    )
+    same = Window.partitionBy("lang", "word")  # a row for each shard at most
+    return rows.withColumns({"f": F.sum("n").over(same), "id": F.min("own").over(same)}).filter(F.col("f") >= least).drop("n")
 
 
 def transform(numbers: np.ndarray, depth: int = WORDS) -> np.ndarray:
@@ -186,83 +193,118 @@ def intervals(*parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start[here], size[here]
 
 
-def _words(bwt: np.ndarray, psi: np.ndarray) -> np.ndarray:
+def _first(bwt: np.ndarray, psi: np.ndarray) -> np.ndarray:
     """The first word of each row, -1 where a row begins with a break."""
     first = bwt[psi].astype(np.int64)
     return np.where(first == 0, -1, first)
 
 
 def index(shards: DataFrame, words: DataFrame) -> DataFrame:
-    """The transform of each shard over its frequent words, and their ids."""
+    """The transform of each shard over its frequent words, the words' ids and the tasks their phrases are dealt to."""
     arrow = to_arrow_schema(INDEX)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, (shard, data) in enumerate(zip(batch.column("shard").to_pylist(), batch.column("numbers"))):
+            for data, known in zip(batch.column("numbers"), batch.column("known")):
                 numbers = _unpack(data.as_py(), np.int32)
-                number, ids = _known(batch.column("known"), i)
+                number, ids, splits = (known.values.field(c).to_numpy() for c in ("number", "id", "splits"))
                 order = np.argsort(number)
                 dense = np.zeros(max(int(numbers.max()), int(number.max())) + 1, np.int32)
                 dense[number[order]] = np.arange(1, len(number) + 1)
-                numbers = dense[numbers]
-                # Runs of breaks say no more than one.
-                numbers = numbers[np.append(True, (numbers[1:] != 0) | (numbers[:-1] != 0))]
-                columns = [[shard], [_pack(transform(numbers))], [_pack(ids[order])]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, arrow)], schema=arrow)
+                columns = [_pack(transform(_without_runs(dense[numbers]))), _pack(ids[order]), _pack(splits[order])]
+                yield pa.RecordBatch.from_arrays([pa.array([c], type=f.type) for c, f in zip(columns, arrow)], schema=arrow)
+
+    number = F.col("own").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("number")
+    known = F.struct(number, "id", (F.lit(1) + F.col("f") / HOT).cast("int").alias("splits"))
+    # No more than a shard holds.
+    of_shard = words.groupBy(F.shiftright("own", 32).alias("shard")).agg(F.collect_list(known).alias("known"))
+    return shards.select("shard", "numbers").join(of_shard, "shard").mapInArrow(run, INDEX)
 
-    return shards.select("shard", "numbers").join(_ids_of_shards(words), "shard").mapInArrow(run, INDEX)
 
+def _slots(words: list[np.ndarray], bits: int) -> np.ndarray:
+    """The bit of a phrase, from the ids of its words."""
+    mixed = np.zeros(len(words[0]), np.uint64)
+    for ids in words:
+        mixed = (mixed ^ ids.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+    return (mixed % np.uint64(bits)).astype(np.int64)
 
-def pairs(indexed: DataFrame) -> DataFrame:
-    """own, ids of both words and the count of every pair of words in a shard."""
-    schema = to_arrow_schema(PAIRS)
+
+def _bitmap(phrases: DataFrame, names: list[str], bits: int) -> np.ndarray:
+    """The slots of phrases as 64-bit words; bits / 64 rows at most come to the driver."""
+    schema = T.StructType([T.StructField("slot", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for shard, bwt, ids in zip(*[batch.column(c).to_pylist() for c in ("shard", "bwt", "ids")]):
-                bwt, ids = _unpack(bwt, np.int32), _unpack(ids, np.int64)
-                psi = psi_of(bwt)
-                first = _words(bwt, psi)
-                start, size = intervals(first, first[psi])
-                own = (shard << 32) + np.arange(len(start))
-                columns = [own, ids[first[start] - 1], ids[first[psi[start]] - 1], size]
-                yield from _batches(columns, schema)
-
-    return indexed.mapInArrow(run, PAIRS)
+            slots = _slots([batch.column(c).to_numpy() for c in names], bits)
+            yield pa.RecordBatch.from_arrays([pa.array(slots)], names=["slot"])
 
+    slots = phrases.select(names).mapInArrow(run, schema)
+    found = slots.groupBy(F.shiftright("slot", 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("set")).toArrow()
+    bitmap = np.zeros(-(-bits // 64), np.uint64)
+    bitmap[found.column("at").to_numpy()] = found.column("set").to_numpy().view(np.uint64)
+    return bitmap
 
-def _batches(columns: list[np.ndarray], schema: pa.Schema, rows: int = 1 << 16) -> Iterator[pa.RecordBatch]:
-    for at in range(0, len(columns[0]), rows):
-        yield pa.RecordBatch.from_arrays([pa.array(c[at : at + rows], pa.int64()) for c in columns], schema=schema)
 
+def counts(indexed: DataFrame, lengths: tuple[int, ...], frequent: np.ndarray | None = None, bits: int = BITS) -> DataFrame:
+    """w1 to w4 and the count `a` in the whole corpus of phrases of these lengths; ids of words not there are 0.
 
-def longer(indexed: DataFrame, frequent: DataFrame) -> DataFrame:
-    """Phrases of three and four words in a shard whose pairs are all frequent: p1, p2, p3 (null in three words), n."""
-    schema = to_arrow_schema(LONGER)
+    `frequent` is the bitmap of frequent pairs of words; without it all phrases are counted.
+    """
+    most = max(lengths)
+    names = [f"w{i + 1}" for i in range(most)]
+    long = T.LongType()
+    schema = T.StructType(
+        [T.StructField("deal", long), *[T.StructField(n, T.ArrayType(long)) for n in names], T.StructField("n", T.ArrayType(T.IntegerType()))]
+    )
+    hands = HANDS * int(indexed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    arrow = to_arrow_schema(schema)
+    shared = None if frequent is None else indexed.sparkSession.sparkContext.broadcast(frequent)
+
+    def of_shard(bwt: np.ndarray, ids: np.ndarray, splits: np.ndarray) -> Iterator[pa.RecordBatch]:
+        ids, psi = np.append(0, ids), psi_of(bwt)
+        words = [_first(bwt, psi)]
+        for _ in range(most - 1):
+            words.append(words[-1][psi])
+        pair = np.ones(len(bwt), bool)
+        if shared is not None:
+            # The rows that begin with a frequent pair, by the intervals of pairs.
+            start, size = intervals(*words[:2])
+            slots = _slots([ids[w[start]] for w in words[:2]], bits)
+            good = (shared.value[slots >> 6] >> (slots & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
+            rows = np.repeat(start - np.append(0, np.cumsum(size)[:-1]), size) + np.arange(size.sum())
+            pair = np.zeros(len(bwt), bool)
+            pair[rows] = np.repeat(good, size)
+        phrases, sizes = [], []
+        allowed = pair
+        for m in range(2, most + 1):
+            if m in lengths:
+                start, size = intervals(np.where(allowed, words[0], -1), *words[1:m])
+                phrases.append([words[i][start] if i < m else np.zeros(len(start), np.int64) for i in range(most)])
+                sizes.append(size)
+            allowed = pair & allowed[psi]  # one pair more
+        phrase, size = [np.concatenate(p) for p in zip(*phrases)], np.concatenate(sizes)
+        ids_of = [ids[p] for p in phrase]
+        after = _slots(ids_of[1:], 1 << 31) % np.append(1, splits)[phrase[0]]
+        deal = (_slots(ids_of[:1], 1 << 31) + after) % hands
+        order = np.lexsort((*phrase[::-1], deal))
+        deal = deal[order]
+        at = np.append(0, np.flatnonzero(deal[1:] != deal[:-1]) + 1) if len(order) else np.zeros(0, np.int64)
+        if len(at):
+            offsets = pa.array(np.append(at, len(order)).astype(np.int32))
+            columns = [pa.array(deal[at])] + [pa.ListArray.from_arrays(offsets, pa.array(x[order])) for x in (*ids_of, size)]
+            whole = pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
+            for i in range(0, len(at), 64):
+                yield whole.slice(i, 64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, bwt in enumerate(batch.column("bwt").to_pylist()):
-                bwt = _unpack(bwt, np.int32)
-                psi = psi_of(bwt)
-                first = _words(bwt, psi)
-                start, size = intervals(first, first[psi])
-                number, ids = _known(batch.column("known"), i)
-                # The pair that each row begins with, by its place among the frequent ones.
-                of_interval = np.full(len(start), -1)
-                of_interval[number] = np.arange(len(number))
-                pair = np.full(len(bwt), -1)
-                rows = np.repeat(start - np.append(0, np.cumsum(size)[:-1]), size) + np.arange(size.sum())
-                pair[rows] = np.repeat(of_interval, size)
-                second = pair[psi]
-                start, size = intervals(pair, second)
-                none = np.full(len(start), -1)
-                yield from _batches([ids[pair[start]], ids[second[start]], none, size], schema)
-                third = second[psi]
-                start, size = intervals(pair, second, third)
-                yield from _batches([ids[pair[start]], ids[second[start]], ids[third[start]], size], schema)
-
-    return indexed.select("shard", "bwt").join(_ids_of_shards(frequent), "shard").mapInArrow(run, LONGER)
+            for bwt, ids, splits in zip(*[batch.column(c) for c in INDEX.names]):
+                yield from of_shard(_unpack(bwt.as_py(), np.int32), _unpack(ids.as_py(), np.int64), _unpack(splits.as_py(), np.int32))
+
+    dealt = indexed.mapInArrow(run, schema).repartition("deal")
+    listed = dealt.select("deal", F.explode(F.arrays_zip(*names, "n")).alias("x")).select("deal", "x.*")
+    return listed.groupBy("deal", *names).agg(F.sum("n").alias("a")).drop("deal")
 
 
 def _cut(k: int, first: Column, rest: Column) -> Column:
@@ -277,56 +319,61 @@ def _joined(words: list[str]) -> Column:
     return F.array_join(F.array(*[F.col(w).cast("string") for w in words]), " ").alias("phrase")
 
 
-def phrases(docs: DataFrame, least: int = 30, top: int = 2000, contained: tuple[int, int] = (100, 80), shard_words: int = SHARD_WORDS) -> DataFrame:
+def phrases(
+    docs: DataFrame, least: int = 30, top: int = 2000, contained: tuple[int, int] = (100, 80), shard_words: int = SHARD_WORDS, bits: int = BITS
+) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the `top` phrases of each language by their lowest-scoring cut.
 
     a: the phrase's count; l, r: the counts of both parts of the cut; n: the language's words. Phrases inside a
     longer one with `contained[0]` * its count >= `contained[1]` * a are left out.
     """
     held = written(shards(docs, shard_words))
-    vocabulary = held.select("shard", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("i", "w"))
-    vocabulary = vocabulary.select(
-        "lang", F.col("w.words").alias("word"), F.col("w.counts").alias("n"), (F.shiftleft("shard", 32) + F.col("i") + 1).alias("own")
-    )
     totals = held.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, c: a + c)).alias("n"))
-    words = written(_summed(vocabulary, ["lang", "word"], least))
+    words = written(_words(held, least))
     indexed = written(index(held, words))
-    twos = written(_summed(pairs(indexed), ["left", "right"], least))
-    more = longer(indexed, twos).groupBy("p1", "p2", "p3").agg(F.sum("n").alias("a")).filter(F.col("a") >= least)
-    more = written(more)
+    often = F.col("a") >= least
+    found = {2: written(counts(indexed, (2,)).filter(often))}
+    longer = written(counts(indexed, (3, 4), _bitmap(found[2], ["w1", "w2"], bits), bits).filter(often))
+    found |= {3: longer.filter("w4 = 0").drop("w4"), 4: longer.filter("w4 <> 0")}
 
-    word = words.filter("own = id").select("id", "lang", "word", "f")
-    of = [word.select(F.col("id").alias(side), F.col("word").alias(f"w{i}"), F.col("f").alias(f"f{i}"), *["lang"] * (i == 1)) for i, side in ((1, "left"), (2, "right"))]
-    two = twos.filter("own = id").select("id", "left", "right", F.col("f").alias("a"))
-    two = written(two.join(of[0], "left").join(of[1], "right").drop("left", "right"))
-    firsts = two.select(F.col("id").alias("p1"), "lang", "w1", "w2", "f1", F.col("a").alias("f12"))
-    seconds = two.select(F.col("id").alias("p2"), F.col("w2").alias("w3"), F.col("f2").alias("f3"), F.col("a").alias("f23"))
-    three = written(more.filter("p3 = -1").drop("p3").join(firsts, "p1").join(seconds, "p2"))
-    starts = three.select("p1", "p2", "lang", "w1", "w2", "w3", "f1", "f12", F.col("a").alias("f123"))
-    stops = three.select(F.col("p1").alias("p2"), F.col("p2").alias("p3"), F.col("w3").alias("w4"), F.col("f3").alias("f4"), F.col("f23").alias("f34"), F.col("a").alias("f234"))
-    four = more.filter("p3 <> -1").join(starts, ["p1", "p2"]).join(stops, ["p2", "p3"])
     c = F.col
-    columns = ["lang", "phrase", "a", "cut", "inside"]
-    # Whatever holds a phrase holds one a word longer that is as frequent, so looking one word further is enough.
-    above_two = three.select(F.explode(F.array("p1", "p2")).alias("id"), "a").groupBy("id").agg(F.max("a").alias("inside"))
-    ends = F.array(F.struct(c("p1"), c("p2")), F.struct(c("p2").alias("p1"), c("p3").alias("p2")))
-    above_three = more.filter("p3 <> -1").select(F.explode(ends).alias("e"), "a").groupBy("e.p1", "e.p2").agg(F.max("a").alias("inside"))
-    candidates = (
-        two.join(above_two, "id", "left").select("lang", _joined(["w1", "w2"]), "a", _cut(1, c("f1"), c("f2")).alias("cut"), "inside")
-        .unionByName(
-            three.join(above_three, ["p1", "p2"], "left")
-            .withColumn("cut", F.array_min(F.array(_cut(1, c("f1"), c("f23")), _cut(2, c("f12"), c("f3")))))
-            .select("lang", _joined(["w1", "w2", "w3"]), *columns[2:])
-        )
-        .unionByName(
-            four.withColumn("cut", F.array_min(F.array(_cut(1, c("f1"), c("f234")), _cut(2, c("f12"), c("f34")), _cut(3, c("f123"), c("f4")))))
-            .select("lang", _joined(["w1", "w2", "w3", "w4"]), "a", "cut", F.lit(None).cast("long").alias("inside"))
-        )
+    word = words.filter("own = id").select("id", "lang", "word", "f")
+
+    def of(i: int) -> DataFrame:
+        return word.select(c("id").alias(f"w{i}"), c("word").alias(f"t{i}"), c("f").alias(f"f{i}"), *["lang"] * (i == 1))
+
+    two = written(found[2].join(of(1), "w1").join(of(2), "w2"))
+    head = two.select("w1", "w2", "lang", "t1", "t2", "f1", c("a").alias("f12"))
+    tail = two.select(c("w1").alias("w2"), c("w2").alias("w3"), c("t2").alias("t3"), c("f2").alias("f3"), c("a").alias("f23"))
+    three = written(found[3].join(head, ["w1", "w2"]).join(tail, ["w2", "w3"]))
+    head = three.select("w1", "w2", "w3", "lang", "t1", "t2", "t3", "f1", "f12", c("a").alias("f123"))
+    tail = three.select(
+        *[c(f"w{i}").alias(f"w{i + 1}") for i in (1, 2, 3)], c("t3").alias("t4"), c("f3").alias("f4"), c("f23").alias("f34"), c("a").alias("f234")
     )
+    four = found[4].join(head, ["w1", "w2", "w3"]).join(tail, ["w2", "w3", "w4"])
+
+    def above(longer: DataFrame, m: int) -> DataFrame:
+        """The greatest count of a phrase one word longer; whatever holds a phrase holds such a one that is as frequent."""
+        parts = [F.struct(*[c(f"w{i + k}").alias(f"w{i}") for i in range(1, m + 1)]) for k in (0, 1)]
+        return longer.select(F.explode(F.array(*parts)).alias("p"), "a").groupBy("p").agg(F.max("a").alias("inside")).select("p.*", "inside")
+
+    cuts = {
+        2: [_cut(1, c("f1"), c("f2"))],
+        3: [_cut(1, c("f1"), c("f23")), _cut(2, c("f12"), c("f3"))],
+        4: [_cut(1, c("f1"), c("f234")), _cut(2, c("f12"), c("f34")), _cut(3, c("f123"), c("f4"))],
+    }
     by, to = (F.lit(x).cast("decimal(10,0)") for x in contained)
     whole = c("inside").isNull() | (by * c("inside").cast("decimal(20,0)") < to * c("a").cast("decimal(20,0)"))
+    candidates = None
+    for m, table in ((2, two), (3, three), (4, four)):
+        if m < WORDS:
+            table = table.join(above(found[m + 1], m), [f"w{i + 1}" for i in range(m)], "left").filter(whole)
+        # Equal scores go to the first cut.
+        cut = F.array_min(F.array(*cuts[m]))
+        rows = table.select("lang", _joined([f"t{i + 1}" for i in range(m)]), "a", cut.alias("cut"))
+        candidates = rows if candidates is None else candidates.unionByName(rows)
     order = Window.partitionBy("lang").orderBy(c("cut.score").desc(), c("a").desc(), "phrase")
-    ranked = candidates.filter(whole).withColumn("rank", F.row_number().over(order)).filter(c("rank") <= top)
+    ranked = candidates.withColumn("rank", F.row_number().over(order)).filter(c("rank") <= top)
     return ranked.join(totals, "lang").select(
         "lang", c("rank").cast("long").alias("rank"), "phrase", "a", c("cut.l").alias("l"), c("cut.r").alias("r"), "n", c("cut.score").alias("score")
     )

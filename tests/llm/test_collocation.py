@@ -62,10 +62,17 @@ def some_rows(seed, n=60):
     return rows
 
 
-@pytest.mark.parametrize("shard_words", [1 << 22, 50])
-def test_against_brute_force(make_docs, shard_words):
+@pytest.mark.parametrize("shard_words, bits", [(1 << 22, collocation.BITS), (50, collocation.BITS), (50, 64)])
+def test_against_brute_force(make_docs, shard_words, bits):
+    """One shard or many; a full bitmap keeps nothing back and changes nothing."""
     rows = some_rows(1)
-    assert got(collocation.phrases(table(make_docs, rows), least=4, shard_words=shard_words)) == brute(rows, 4)
+    assert got(collocation.phrases(table(make_docs, rows), least=4, shard_words=shard_words, bits=bits)) == brute(rows, 4)
+
+
+def test_frequent_first_words_are_dealt_apart(make_docs, monkeypatch):
+    monkeypatch.setattr(collocation, "HOT", 10)
+    rows = some_rows(5)
+    assert got(collocation.phrases(table(make_docs, rows), least=3, shard_words=200)) == brute(rows, 3)
 
 
 def test_top_and_ties(make_docs):
@@ -107,7 +114,7 @@ def test_index_counts_every_phrase(seed):
         numbers = numbers * 60_000  # four numbers need more than 62 bits
     bwt = collocation.transform(numbers)
     psi = collocation.psi_of(bwt)
-    first = collocation._words(bwt, psi)
+    first = collocation._first(bwt, psi)
     second, third = first[psi], first[psi][psi]
     fourth = third[psi]
     ring = numbers.tolist()
