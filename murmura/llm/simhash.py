@@ -247,55 +247,54 @@ def _shingle_sets(docs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     return map_batches(wanted, run, schema, small=64).dropDuplicates(["same"])
 
 
-def _crowds(rows: DataFrame, hubs: int) -> DataFrame:
-    """rows (root, no, waiting) of groups of two or more with a member that waits, `hubs` of them or so marked `hub`."""
-    draw = F.xxhash64("no", "root", F.lit(hubs))
-    size = rows.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.min(draw).alias("least"), F.max("waiting").alias("any"))
-    among_all = rows.join(size.filter("n > 1 and any").drop("any"), "root")
-    drawn = (F.pmod(draw, F.col("n")) < hubs - 1) | (F.lit(hubs) >= F.col("n"))
-    return among_all.withColumn("hub", (draw == F.col("least")) | drawn).withColumn("last", F.lit(hubs) >= F.col("n")).drop("n", "least")
+def _crowds(rows: DataFrame) -> DataFrame:
+    """rows (root, no, sample, waiting, met) of groups of two or more with a member that waits; `hub`: the one met most."""
+    place = F.struct("met", F.xxhash64("no", "root").alias("draw"), "no")
+    size = rows.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.max(place).alias("most"), F.max("waiting").alias("any"))
+    return rows.join(size.filter("n > 1 and any").select("root", F.col("most.no").alias("hub")), "root")
 
 
 def similar_links(docs: DataFrame, classes: DataFrame, words: int, least: float) -> DataFrame:
     """a, b (numbers of classes) that share a sample's fingerprint, or one that differs in one bit, and are similar.
 
-    In each group of a fingerprint all classes are compared with one of it, the hub. Those not similar to it share
-    little but that sample, a common passage perhaps; they are looked for in groups that share a second sample.
-    There a round compares what is still without a partner with twice as many hubs as the round before, until it
-    has one or all were hubs.
+    In each group of a fingerprint all classes are compared with its hub, the class that meets most others in all its
+    groups, as the original of many copies does. Those not similar to it, sharing a common passage perhaps, are looked
+    for again in groups that share one more sample, with the hub of these, and so on; so a class is compared once in a
+    group, and groups get smaller from level to level until no group of two is left. Classes with a partner can be
+    hubs of the second level only.
     """
     rows = classes.select("no", F.posexplode("fps").alias("sample", "fp"))
     distinct = written(rows.select("fp").distinct())
     roots = components(links(distinct, 1)).select(F.col("a").alias("fp"), F.col("b").alias("root"))
-    groups = rows.join(roots, "fp", "left").select("no", "sample", F.coalesce("root", "fp").alias("root"), F.lit(True).alias("waiting"))
-    left = written(_crowds(groups, 1))
+    groups = rows.join(roots, "fp", "left").select("no", "sample", F.coalesce("root", "fp").alias("root"))
+    sizes = groups.groupBy("root").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    groups = written(groups.join(sizes, "root"))
+    met = groups.groupBy("no").agg(F.sum("n").alias("met"))
+    left = written(_crowds(groups.drop("n").join(met, "no").withColumn("waiting", F.lit(True))))
     texts = left.select("no").distinct().join(classes, "no").select("no", "same", "text_hash")
     sets = written(_shingle_sets(docs, texts.select("text_hash"), words).join(texts.select("no", "same"), "same").select("no", "shingles"))
     found = left.select(F.col("no").alias("a"), F.col("no").alias("b")).limit(0)
-    hubs = 1
+    level = 1
     while not left.isEmpty():
-        to = left.filter("hub").select("root", F.col("no").alias("b"))
-        met = written(left.filter("waiting").select("root", F.col("no").alias("a")).join(to, "root").filter("a <> b"))
+        asked = left.filter("waiting and no <> hub").select(F.greatest("no", "hub").alias("a"), F.least("no", "hub").alias("b")).distinct()
         of_a = sets.select(F.col("no").alias("a"), F.col("shingles").alias("x"))
         of_b = sets.select(F.col("no").alias("b"), F.col("shingles").alias("y"))
         common = F.size(F.array_intersect("x", "y"))
         alike = common >= least * (F.size("x") + F.size("y") - common)
-        pairs = met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        similar = written(pairs.join(of_a, "a").join(of_b, "b").filter(alike).select("a", "b"))
+        # Sets of shingles are no small side, whatever a compressed table's size suggests.
+        similar = written(asked.join(of_a.hint("merge"), "a").join(of_b.hint("merge"), "b").filter(alike).select("a", "b"))
         found = found.unionByName(similar)
-        both = similar.unionByName(similar.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        placed = met.join(both, ["a", "b"]).select("root", F.col("a").alias("no")).distinct().withColumn("placed", F.lit(True))
-        rest = left.filter("not last").join(placed, ["root", "no"], "left")
-        # The hub of the first round has met all of its group.
-        waiting = F.col("waiting") & F.col("placed").isNull()
-        rest = rest.withColumn("waiting", (waiting & ~F.col("hub")) if hubs == 1 else waiting).drop("placed", "hub", "last")
-        if hubs == 1:
-            unsettled = rest.groupBy("root").agg(F.max("waiting").alias("any")).filter("any").select("root")
-            other = classes.select("no", F.posexplode("fps").alias("second", "fp"))
-            rest = rest.join(unsettled, "root").join(other, "no").filter("second <> sample")
-            rest = rest.groupBy("no", "sample", F.xxhash64("root", "second", "fp").alias("root")).agg(F.max("waiting").alias("waiting"))
-        hubs *= 2
-        left = written(_crowds(rest, hubs))
+        pair = [F.greatest("no", "hub").alias("a"), F.least("no", "hub").alias("b")]
+        rest = left.filter("no <> hub").select("*", *pair).join(similar.withColumn("placed", F.lit(True)), ["a", "b"], "left")
+        rest = rest.withColumn("waiting", F.col("waiting") & F.col("placed").isNull()).drop("a", "b", "placed", "hub")
+        # Beyond the second level those with a partner don't go on, not even as hubs.
+        rest = written(rest if level == 1 else rest.filter("waiting"))
+        level += 1
+        unsettled = rest.filter("waiting").select("root").distinct()
+        other = classes.select("no", F.posexplode("fps").alias("next", "fp"))
+        # Samples in rising order, so a set of shared samples makes one group.
+        rest = rest.join(unsettled, "root").join(other, "no").filter("next > sample")
+        left = written(_crowds(rest.select("no", "met", "waiting", F.col("next").alias("sample"), F.xxhash64("root", "next", "fp").alias("root"))))
     return found
 
 
