@@ -1,4 +1,5 @@
 import random
+import time
 
 from murmura.llm import html
 from murmura.llm.html import tree, visible_text
@@ -86,3 +87,42 @@ def test_table_of_pages(spark):
     rows = sorted(((r.page_id, r.text) for r in html.extract(pages).collect()), key=str)
     assert rows == [(1, "a"), (1, "a"), (None, None)]
     assert html.extract(pages.limit(0)).collect() == []
+
+
+def test_styles_are_read_by_declaration():
+    seen = ["background:url(/display:none.png)", "--display:none", "content:'; display:none'", "/* display:none */", "display:none;display:block", "display:block!important;display:none"]
+    assert all(visible_text(f'<p style="{s}">x') == "x" for s in seen)
+    gone = ["display:none", "color:red; DISPLAY : None", "display:none!important;display:block", "background:url(a;b);display:none"]
+    assert all(visible_text(f'<p style="{s}">x') == "" for s in gone)
+
+
+def test_visible_inside_invisible():
+    assert visible_text('<div style="visibility:hidden">a<p style="visibility:visible">b<i style="visibility:collapse">c</i></div>d') == "b\n\nd"
+    assert visible_text('<div style="display:none">a<p style="visibility:visible;display:block">b</div>d') == "d"
+    assert visible_text('<ul style="visibility:hidden"><li>a<li><b style="visibility:visible">b</b></ul>') == "  b"
+
+
+def test_broken_markup():
+    assert visible_text('<a title="x>y</a> z') == "y z"
+    assert visible_text("a <!-- b <p>c") == "a" and visible_text("a <!--> b <!--- x --!> c") == "a b c"
+    assert visible_text("<textarea><b>x</b></textarea><title>t</b></title>") == "<b>x</b>"
+    assert visible_text("<textarea>x <b>y") == "x y" and visible_text("a<script>x</scripts><p>y") == "a"
+    assert visible_text("<i a=1 b='2' / c/>x &lt; 1 < 2 &amp;<br/>y<z") == "x < 1 < 2 &\ny<z"
+    assert visible_text("<p hidden=1 hidden>x</p><svg><text><![CDATA[a<b]]></text></svg>") == "a<b"
+
+
+def test_hostile_pages_take_time_by_their_length():
+    size = 200_000
+    cells = "<tr><td colspan=1000 rowspan=65534>" * (size // 35)
+    pages = [
+        f"<table>{cells}", "<p>" + "<span>" * (size // 12) + "<li>" * (size // 8), "<table><td>" + "<b>" * 9 + "</b>" * (size // 4),
+        *((part * size)[:size] for part in ("<a ", "<b a=", '<a href="', "<!--", "<br>", "<blockquote>x", "<ul><li>x", "<table><tr><td>x<br>", "<dl><dd>x")),
+        "<table><tr><td>" + "w" * (size // 2) + "<td>b" + "<tr><td>a<td>b" * (size // 28), "<p style='" + "(" * size + ";display:none'>x",
+    ]
+    for page in pages:
+        start = time.process_time()
+        text = visible_text(page)
+        assert time.process_time() - start < 10, page[:40]
+        assert len(text) <= len(page) + (text.count("\n") + 1) * html.WIDEST
+    deep = "".join(f"<table><tr><td>x{i}<br>" for i in range(500))
+    assert visible_text(deep).split() == [f"x{i}" for i in range(500)]
