@@ -193,18 +193,15 @@ WITH piece AS (
     SELECT doc_id, txt, l, w, unnest(range(1, len(l) + 1)) AS i
     FROM (SELECT doc_id, txt, list(line_text ORDER BY k) AS l, list(n ORDER BY k) AS w FROM line GROUP BY ALL)
 ), win AS (
-    SELECT doc_id, txt, l, i, list_position(list_transform(range(i, len(l) + 1), lambda j: list_sum(w[i:j]) >= 50), true) AS n FROM start
-), full_win AS (
-    SELECT doc_id, txt, l, i, n, array_to_string(l[i:i + n - 1], chr(10)) AS body FROM win WHERE n > 0
-), first AS (
-    SELECT body, arg_min({'doc_id': doc_id, 'i': i, 'l': l, 'txt': txt}, (doc_id, i)) AS f FROM full_win GROUP BY body HAVING count(*) > 1
+    SELECT doc_id, txt, l, w, i, list_position(list_transform(range(i, len(l) + 1), lambda j: list_sum(w[i:j]) >= 50), true) AS n FROM start
+), longer AS (  -- the window and what follows it, while the lines after the first have below 50 words
+    SELECT doc_id, txt, l, w, i, n, unnest(range(n, least(len(l) - i + 1, 50) + 1)) AS m FROM win WHERE n > 0
 ), run AS (
-    SELECT f2.doc_id, f2.txt, f2.i, f2.n, list_position(list_transform(range(f2.n, greatest(len(f2.l) - f2.i, 0) + 2),
-        lambda k: coalesce(f2.l[f2.i + k] <> f.l[f.i + k], true)), true) - 1 AS more
-    FROM full_win f2 JOIN first USING (body)
-    WHERE f2.doc_id <> f.doc_id OR f2.txt <> f.txt OR f2.i <> f.i
+    SELECT doc_id, txt, i, m AS n, array_to_string(l[i:i + m - 1], chr(10)) AS body
+    FROM longer WHERE m = n OR list_sum(w[i + 1:i + m - 1]) < 50
+    QUALIFY (doc_id, txt, i) <> min((doc_id, txt, i)) OVER (PARTITION BY body)
 ), gone AS (
-    SELECT DISTINCT doc_id, txt, unnest(range(i, i + n + more)) AS k FROM run
+    SELECT DISTINCT doc_id, txt, unnest(range(i, i + n)) AS k FROM run
 ), cleaned AS (
     SELECT p.doc_id, p.txt, count(g.k) AS c, bool_or(p.n > 0 AND g.k IS NULL) AS some,
         string_agg(p.line_text, chr(10) ORDER BY p.pos) FILTER (WHERE g.k IS NULL) AS text

@@ -1,7 +1,10 @@
 import random
 from collections import Counter
 
+import duckdb
+
 from murmura.llm import linededup
+from murmura.llm.queries import SQL
 
 
 def brute(rows, least):
@@ -103,3 +106,33 @@ def test_against_every_earlier_place(make_docs):
     assert brute_all(rows, 12) != brute(rows, 12)
     got = {r.doc_id: (r.text, r.deleted_lines) for r in linededup.clean(make_docs(texts), 12, every_place=True).collect()}
     assert got == brute_all(rows, 12)
+
+
+def test_sql_tries_every_earlier_place():
+    rnd = random.Random(17)
+    hot = [" ".join(f"h{i}x{j}" for j in range(53 if i else 27)) for i in range(3)]
+    pool = [*hot, *(" ".join(rnd.choices("abcdefgh", k=rnd.randint(5, 20))) for _ in range(4))]
+    rows = [(d, "\n".join(rnd.choices(pool, k=rnd.randint(0, 12)))) for d in range(150)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    want = brute_all(rows, linededup.MIN_WORDS)
+    assert want != brute(rows, linededup.MIN_WORDS)
+    assert {d: (text, n) for d, text, n in con.execute(SQL["op1_line_dedup"]).fetchall()} == want
+
+
+def test_positions_are_the_minima_of_windows(make_docs):
+    lines = [f"{i * 7 % 11} word{i}" for i in range(40)]
+    hashes, words = linededup.line_hashes("\n".join(lines))
+    picked = linededup.selected(make_docs(["\n".join(lines)]), 10).collect()
+    assert {r.position for r in picked} == {min(range(i, i + 5), key=hashes.__getitem__) for i in range(36)}
+    assert sorted(w.line for r in picked for w in r.windows) == list(range(36)) and len(picked) < 36
+
+
+def test_clashing_and_extra_columns(make_docs):
+    text = " ".join(f"w{i}" for i in range(60))
+    docs = make_docs([text, text, None]).selectExpr("doc_id", "text", "7 as deleted_lines", "'r' as row", "doc_id as __id", "'h' as hash", "'t' as text_hash")
+    rows = linededup.clean(docs).orderBy("doc_id").collect()
+    assert [(r.doc_id, r.text, r.row, r["__id"], r.hash, r.text_hash, r.deleted_lines) for r in rows] == [
+        (0, text, "r", 0, "h", "t", 0), (1, "", "r", 1, "h", "t", 1), (2, None, "r", 2, "h", "t", 0)
+    ]
