@@ -40,9 +40,18 @@ def canonical_contexts(canonicals: DataFrame, popular_tiers: bool = False) -> Da
     ranked = with_context(canonicals, "canonical_text").withColumn(
         "factor", S.canonical_factor(F.col("confidence_score"), F.col("usage_count"), popular_tiers)
     )
-    return ranked.groupBy(*KEY, "factor").agg(
-        F.min(F.struct("creation_date", "id", "canonical_text")).alias("first")
-    )
+    first = F.min(F.struct("creation_date", "id", "canonical_text")).alias("first")
+    grouped = ranked.filter(F.col(NORM).isNotNull()).groupBy(*KEY, "factor").agg(first)
+    return _shared(grouped.filter(F.col("first").isNotNull()), *KEY, "factor")
+
+
+def _shared(grouped: DataFrame, *keys: str) -> DataFrame:
+    """Keeps a grouped table one shuffle for all its users, where column pruning would give each its own input.
+
+    The exchange itself goes, as the rows lie so already; what stays is that all of `keys` are wanted. Tests for
+    NULL on texts and aggregates stand before it, so that no user adds one of its own.
+    """
+    return grouped.repartition(*keys)
 
 
 def _block(tiers) -> Column:
@@ -126,7 +135,7 @@ def match(
     """
     thresholds = thresholds or K.INITIAL_THRESHOLDS
     p = with_context(pains, text)
-    contexts = p.select(*KEY).distinct()
+    contexts = _shared(p.filter(F.col(NORM).isNotNull()).select(*KEY).distinct(), *KEY)
     stored = canonical_contexts(canonicals, popular_tiers)
     pairs = similar_pairs(
         contexts.withColumn("block", _block(tiers)),
