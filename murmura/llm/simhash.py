@@ -11,8 +11,8 @@ Equal fingerprints are one before anything is compared. Within an anchor a spann
 given out, not all pairs; an anchor with more than `most` fingerprints is split into blocks, and every two
 blocks meet in a task of their own.
 
-`similar_groups` and `one_of_each` find near copies at a similarity of 0.8 by the same anchors, on fingerprints of
-samples of a text's shingles, with an exact check of every link.
+`similar_groups` and `one_of_each` find near copies at a similarity of 0.8 by an exact join on the rarest shingles of
+the texts, without fingerprints.
 
 Defined cases: null and empty texts have fingerprint zero and are linked like any other; repeated rows get
 equal results; a null doc_id never names a component unless all its members have none; an empty table gives an
@@ -26,9 +26,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from murmura.llm.common import among, beside, map_batches, with_defaults, written
 from murmura.llm.components import components
@@ -37,8 +38,8 @@ SEED = 42
 SHINGLE = 3
 THRESHOLD = 3
 BITS = 31
-#: Near copies: words of a shingle, least similarity, fingerprints of a text, shingles in each one's sample.
-WORDS, LEAST, SAMPLES, SAMPLE = 5, 0.8, 12, 4
+#: Near copies: words of a shingle, least similarity; slack of the bounds.
+WORDS, LEAST, EPS = 5, 0.8, 1e-6
 _ODD = [np.uint64(sum(1 << i for i in range(BITS) if (i + 1) >> k & 1)) for k in range(5)]
 #: For each syndrome but zero, the flips of two bits that lead to the code words at distance two.
 _FLIPS = np.array(
@@ -184,23 +185,50 @@ def groups(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     return marked.join(of_fp, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
-def _similar_rows(docs: DataFrame, words: int, samples: int, size: int) -> DataFrame:
-    """doc_id, text_hash, same (names the sequence of words) and the fingerprints of the text's samples."""
+def _similar_rows(docs: DataFrame, words: int, least: float) -> DataFrame:
+    """no (a number of the row), doc_id, text_hash, same (names the sequence of words), first and enough.
+
+    `first`: the least of the hashes of the shingles. Of n shingles a similar text has `need` or more, so if both list the
+    first n - need + k of theirs, they have k in common; here k is 1 + n // 10, and a similar text has `need` shingles
+    or more itself, so `enough` = 1 + need // 10 of these are shared with each similar text.
+    """
     long = T.LongType()
     schema = T.StructType(
-        [T.StructField("doc_id", long), T.StructField("text_hash", long), T.StructField("same", T.BinaryType()), T.StructField("fps", T.ArrayType(long))]
+        [T.StructField("doc_id", long), T.StructField("text_hash", long), T.StructField("same", T.BinaryType()), T.StructField("first", T.ArrayType(long)), T.StructField("enough", long)]
     )
 
     def run(batch: pa.RecordBatch) -> dict[str, list]:
-        same, fps = [], []
-        for text in batch.column("text").to_pylist():
-            found = _words(text)
+        same, first, enough = [], [], []
+        for text in batch.column("text"):
+            found = _words(text.as_py())
+            hashes = shingles(found, words)
+            n, need = len(hashes), int(np.ceil(len(hashes) * least - EPS))
             same.append(xxhash.xxh128_digest(b" ".join(found)))
-            fps.append(sample_fingerprints(shingles(found, words), samples, size).view(np.int64))
-        return {"doc_id": batch.column("doc_id"), "text_hash": batch.column("text_hash"), "same": same, "fps": fps}
+            first.append(hashes[: n - need + 1 + n // 10].view(np.int64).copy())
+            enough.append(1 + need // 10)
+        return {"doc_id": batch.column("doc_id"), "text_hash": batch.column("text_hash"), "same": same, "first": first, "enough": enough}
 
     rows = with_defaults(docs, doc_id="long", text="string").withColumn("text_hash", F.xxhash64("text"))
-    return map_batches(rows, run, schema)
+    return map_batches(rows, run, schema).withColumn("no", F.monotonically_increasing_id())
+
+
+def _shingle_sets(docs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """no and shingles of the rows of `texts` (no, same, text_hash)."""
+    rows = docs.select(F.col("text").cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    hashes = texts.select("text_hash").distinct()
+    wanted = among(rows, hashes, "text_hash").join(hashes, "text_hash", "left_semi").select("text").distinct()
+    schema = T.StructType([T.StructField("same", T.BinaryType()), T.StructField("shingles", T.ArrayType(T.LongType()))])
+
+    def run(batch: pa.RecordBatch) -> dict[str, list]:
+        same, sets = [], []
+        for text in batch.column("text"):
+            found = _words(text.as_py())
+            same.append(xxhash.xxh128_digest(b" ".join(found)))
+            sets.append(shingles(found, words).view(np.int64))
+        return {"same": same, "shingles": sets}
+
+    sets = map_batches(wanted, run, schema, small=64).dropDuplicates(["same"])
+    return sets.join(texts.select("no", "same"), "same").select("no", "shingles")
 
 
 def _words(text: str | None) -> list[bytes]:
@@ -223,97 +251,111 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def sample_fingerprints(hashes: np.ndarray, samples: int, size: int) -> np.ndarray:
-    """SimHash of each sample: the `size` hashes that are least in an order of the sample's own."""
-    out = np.zeros(samples, np.uint64)
-    for k in range(samples):
-        order = _mix(_mix(hashes ^ np.uint64(k + 1)))
-        least = hashes[np.argpartition(order, size)[:size]] if len(hashes) > size else hashes
-        bits = np.unpackbits(_mix(least ^ np.uint64(k << 32)).astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        out[k] = np.packbits(2 * bits.sum(axis=0, dtype=np.int64) > len(least), bitorder="little").view("<u8")[0]
-    return out
+def shared_sets(rows: DataFrame, least: float) -> DataFrame:
+    """no, n (all shingles) and shared (those that other rows have, rarest first, in one order for all rows).
 
+    Only rows that can reach `least` with another row: those that no other row has may be few enough.
+    """
+    listed = rows.select("no", F.size("shingles").alias("n"), F.explode("shingles").alias("x"))
+    shared = listed.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("x"))).filter("df > 1")
+    sets = shared.groupBy("no", "n").agg(F.array_sort(F.collect_list(F.struct("df", "x")))["x"].alias("shared"))
+    return sets.filter(F.size("shared") >= F.ceil(F.col("n") * least - EPS))
 
-def _shingle_sets(docs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
-    """same and the shingles of the texts whose hash is in `texts` (text_hash)."""
-    rows = docs.select(F.col("text").cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    wanted = among(rows, texts, "text_hash").join(texts.distinct(), "text_hash", "left_semi").select("text").distinct()
-    schema = T.StructType([T.StructField("same", T.BinaryType()), T.StructField("shingles", T.ArrayType(T.LongType()))])
 
-    def run(batch: pa.RecordBatch) -> dict[str, list]:
-        found = [_words(t) for t in batch.column("text").to_pylist()]
-        return {"same": [xxhash.xxh128_digest(b" ".join(f)) for f in found], "shingles": [shingles(f, words).view(np.int64) for f in found]}
+def _prefixes(sets: DataFrame, least: float) -> DataFrame:
+    """no, n, key, room: the shingles one of which a row shares with each similar one, and how many a pair that meets first there can share.
+
+    Shingles in one order, the rarest first: two rows with `need` common ones or more share one of the first n - need + 1.
+    """
+    alone = F.col("n") - F.size("shared")
+    first = F.col("n") - F.ceil(F.col("n") * least - EPS).cast("int") + 1 - alone
+    keys = sets.select("no", "n", alone.alias("alone"), F.posexplode(F.slice("shared", 1, first)).alias("i", "key"))
+    keys = keys.select("no", "n", "key", (F.col("n") - F.col("alone") - F.col("i")).alias("room"))
+    return keys.join(keys.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1"), "key")
+
+
+def _may(least: float, room: str, n: str, other_room: str, other_n: str) -> Column:
+    return F.least(room, other_room) * (1 + least) >= (F.col(n) + F.col(other_n)) * least - EPS
+
 
-    return map_batches(wanted, run, schema, small=64).dropDuplicates(["same"])
+def _confirmed(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) of a similarity of `least` or more."""
+    of_a = sets.select(F.col("no").alias("a"), F.col("n").alias("a_n"), F.col("shared").alias("x"))
+    of_b = sets.select(F.col("no").alias("b"), F.col("n").alias("b_n"), F.col("shared").alias("y"))
+    common = F.size(F.array_intersect("x", "y"))
+    alike = common >= least * (F.col("a_n") + F.col("b_n") - common)
+    # Sets of shingles are no small side, whatever a compressed table's size suggests.
+    return pairs.join(of_a.hint("merge"), "a").join(of_b.hint("merge"), "b").filter(alike).select("a", "b")
 
 
-def _crowds(rows: DataFrame) -> DataFrame:
-    """rows (root, no, sample, waiting, met) of groups of two or more with a member that waits; `hub`: the one met most."""
-    place = F.struct("met", F.xxhash64("no", "root").alias("draw"), "no")
-    size = rows.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.max(place).alias("most"), F.max("waiting").alias("any"))
-    return rows.join(size.filter("n > 1 and any").select("root", F.col("most.no").alias("hub")), "root")
+def _with_roots(keys: DataFrame, found: DataFrame) -> DataFrame:
+    """keys with root (names the component) and loose: not in the component that has most rows of the key."""
+    roots = components(found).select(F.col("a").alias("no"), F.col("b").alias("root"))
+    rooted = written(keys.join(roots, "no", "left").withColumn("root", F.coalesce("root", "no")))
+    size = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    most = size.groupBy("key").agg(F.max(F.struct("n", "root")).alias("most"), F.count(F.lit(1)).alias("roots")).filter("roots > 1")
+    return rooted.join(most.select("key", F.col("most.root").alias("main")), "key").withColumn("loose", F.col("root") != F.col("main")).drop("main")
 
 
-def similar_links(docs: DataFrame, classes: DataFrame, words: int, least: float) -> DataFrame:
-    """a, b (numbers of classes) that share a sample's fingerprint, or one that differs in one bit, and are similar.
+def similar_links(sets: DataFrame, least: float, crowd: int = 64) -> DataFrame:
+    """Links (a, b) that connect all rows of `sets` (see `shared_sets`) with a similarity of `least` or more; exact.
 
-    In each group of a fingerprint all classes are compared with its hub, the class that meets most others in all its
-    groups, as the original of many copies does. Those not similar to it, sharing a common passage perhaps, are looked
-    for again in groups that share one more sample, with the hub of these, and so on; so a class is compared once in a
-    group, and groups get smaller from level to level until no group of two is left. Classes with a partner can be
-    hubs of the second level only.
+    Rows meet on the keys of `_prefixes`. First all rows of a key are compared with its hub, the row that meets most
+    others, as the original of many copies does; in keys of more than `crowd` rows those that aren't in the key's main
+    component yet are compared with further rows of it, as long as this finds a tenth of them. What is then left is compared
+    with every row of the key that is not in its component, so no link between components is lost. Rows of a key with
+    equal counts are one when bounds are tested, so rows that share a passage and no more are never paired.
     """
-    rows = classes.select("no", F.posexplode("fps").alias("sample", "fp"))
-    distinct = written(rows.select("fp").distinct())
-    roots = components(links(distinct, 1)).select(F.col("a").alias("fp"), F.col("b").alias("root"))
-    groups = rows.join(roots, "fp", "left").select("no", "sample", F.coalesce("root", "fp").alias("root"))
-    sizes = groups.groupBy("root").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    groups = written(groups.join(sizes, "root"))
-    met = groups.groupBy("no").agg(F.sum("n").alias("met"))
-    left = written(_crowds(groups.drop("n").join(met, "no").withColumn("waiting", F.lit(True))))
-    texts = left.select("no").distinct().join(classes, "no").select("no", "same", "text_hash")
-    sets = written(_shingle_sets(docs, texts.select("text_hash"), words).join(texts.select("no", "same"), "same").select("no", "shingles"))
-    found = left.select(F.col("no").alias("a"), F.col("no").alias("b")).limit(0)
-    level = 1
-    while not left.isEmpty():
-        asked = left.filter("waiting and no <> hub").select(F.greatest("no", "hub").alias("a"), F.least("no", "hub").alias("b")).distinct()
-        of_a = sets.select(F.col("no").alias("a"), F.col("shingles").alias("x"))
-        of_b = sets.select(F.col("no").alias("b"), F.col("shingles").alias("y"))
-        common = F.size(F.array_intersect("x", "y"))
-        alike = common >= least * (F.size("x") + F.size("y") - common)
-        # Sets of shingles are no small side, whatever a compressed table's size suggests.
-        similar = written(asked.join(of_a.hint("merge"), "a").join(of_b.hint("merge"), "b").filter(alike).select("a", "b"))
-        found = found.unionByName(similar)
-        pair = [F.greatest("no", "hub").alias("a"), F.least("no", "hub").alias("b")]
-        rest = left.filter("no <> hub").select("*", *pair).join(similar.withColumn("placed", F.lit(True)), ["a", "b"], "left")
-        rest = rest.withColumn("waiting", F.col("waiting") & F.col("placed").isNull()).drop("a", "b", "placed", "hub")
-        # Beyond the second level those with a partner don't go on, not even as hubs.
-        rest = written(rest if level == 1 else rest.filter("waiting"))
-        level += 1
-        unsettled = rest.filter("waiting").select("root").distinct()
-        other = classes.select("no", F.posexplode("fps").alias("next", "fp"))
-        # Samples in rising order, so a set of shared samples makes one group.
-        rest = rest.join(unsettled, "root").join(other, "no").filter("next > sample")
-        left = written(_crowds(rest.select("no", "met", "waiting", F.col("next").alias("sample"), F.xxhash64("root", "next", "fp").alias("root"))))
-    return found
-
-
-def similar_groups(docs: DataFrame, words: int = WORDS, least: float = LEAST, samples: int = SAMPLES, size: int = SAMPLE) -> DataFrame:
+    keys = written(_prefixes(sets, least))
+    met = keys.groupBy("no").agg(F.sum("m").alias("met"))
+    place = F.struct("met", F.xxhash64("no").alias("draw"), "no", "n", "room")
+    hubs = keys.join(met, "no").groupBy("key").agg(F.max(place).alias("hub"))
+
+    def with_hub(rows: DataFrame, hubs: DataFrame) -> DataFrame:
+        both = rows.join(hubs, "key").select("no", "n", "room", F.col("hub.no").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.room").alias("hub_room"))
+        near = both.filter((F.col("no") != F.col("hub")) & _may(least, "room", "n", "hub_room", "hub_n"))
+        return near.select(F.greatest("no", "hub").alias("a"), F.least("no", "hub").alias("b")).distinct()
+
+    found = written(_confirmed(with_hub(keys, hubs), sets, least))
+    rooted = written(_with_roots(keys, found))
+    level, placed = 1, True
+    while placed:
+        loose = rooted.filter((F.col("m") > crowd) & F.col("loose"))
+        waiting = loose.select("no").distinct().count()
+        if not waiting:
+            break
+        others = rooted.filter((F.col("m") > crowd) & ~F.col("loose"))
+        drawn = others.groupBy("key").agg(F.max(F.struct(F.xxhash64("no", F.lit(level)).alias("draw"), "no", "n", "room")).alias("hub"))
+        more = written(_confirmed(with_hub(loose, drawn), sets, least))
+        found, level, placed = found.unionByName(more), level + 1, 10 * more.count() >= waiting
+        rooted = written(_with_roots(keys, found))
+    kind = ["key", "n", "room"]
+    ours = rooted.filter("loose").select(*kind).distinct()
+    theirs = rooted.select("key", F.col("n").alias("b_n"), F.col("room").alias("b_room")).distinct()
+    kinds = ours.join(theirs, "key").filter(_may(least, "room", "n", "b_room", "b_n"))
+    a = rooted.filter("loose").select(*kind, F.col("no").alias("a"), F.col("root").alias("a_root"))
+    b = rooted.select("key", F.col("n").alias("b_n"), F.col("room").alias("b_room"), F.col("no").alias("b"), F.col("root").alias("b_root"))
+    apart = a.join(kinds, kind).join(b.hint("merge"), ["key", "b_n", "b_room"]).filter("a_root <> b_root")
+    asked = apart.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    return found.unionByName(_confirmed(asked, sets, least))
+
+
+def similar_groups(docs: DataFrame, words: int = WORDS, least: float = LEAST) -> DataFrame:
     """doc_id, text_hash and root: rows with one root are linked by texts of a Jaccard similarity of `least` or more.
 
-    The similarity is that of the sets of shingles of `words` words, lower-cased. A fingerprint of the whole text
-    differs in some ten bits at a similarity of 0.8, beyond what anchors can cover; so a text has the fingerprints
-    of several small samples of its shingles, of which one at least is equal in all but a few similar pairs, and
-    links are those that the exact similarity confirms.
+    The similarity is that of the sets of shingles of `words` words, lower-cased; every link counts, see `similar_links`.
     """
-    marked = written(_similar_rows(docs, words, samples, size))
-    place = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), "text_hash")
-    least_place = F.min(F.struct(place.alias("place"), "fps")).alias("m")
-    classes = marked.groupBy("same").agg(least_place).select("same", F.col("m.place.text_hash").alias("text_hash"), "m.fps")
-    classes = written(classes.withColumn("no", F.monotonically_increasing_id()))
-    roots = components(similar_links(docs, classes, words, least)).select(F.col("a").alias("no"), F.col("b").alias("root"))
+    marked = written(_similar_rows(docs, words, least))
+    classes = written(marked.groupBy("same").agg(F.min("no").alias("no")))
+    # Equal texts are one row; the few that the bitmap lets through are linked like any other.
+    one = among(marked, classes.select("no"), "no")
+    met = one.select("no", "enough", F.explode("first").alias("x")).withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("x")))
+    met = met.filter("df > 1").groupBy("no", "enough").agg(F.count(F.lit(1)).alias("n")).filter("n >= enough")
+    texts = written(one.join(met.select("no"), "no", "left_semi").select("no", "same", "text_hash"))
+    sets = written(shared_sets(_shingle_sets(docs, texts, words), least))
+    roots = components(similar_links(sets, least)).select(F.col("a").alias("no"), F.col("b").alias("root"))
     named = classes.join(roots, "no", "left").select("same", F.coalesce("root", "no").alias("root"))
-    return marked.join(named, "same").select("doc_id", "text_hash", "root")
+    return marked.select("same", "doc_id", "text_hash").join(named, "same").select("doc_id", "text_hash", "root")
 
 
 def one_of_each(docs: DataFrame, words: int = WORDS, least: float = LEAST) -> DataFrame:

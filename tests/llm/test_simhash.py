@@ -168,6 +168,27 @@ def test_recall_of_near_copies(make_docs):
     assert all(want[i] == want[j] for i in range(len(texts)) for j in range(i) if root[i] == root[j])
 
 
+def test_links_at_the_threshold_are_all_found(make_docs):
+    """Pairs just at a similarity of 0.8 and above it: ends cut off, words replaced, texts of a few words."""
+    rng = random.Random(11)
+    texts = []
+    for i in range(150):
+        base = [f"v{rng.randrange(5000)}" for _ in range(rng.randrange(14, 120))]
+        cut = base[: -(-4 * (len(base) - 4) // 5) + 4]
+        at = rng.randrange(len(base))
+        texts += [" ".join(base), " ".join(cut), " ".join([*base[:at], "anders", *base[at + 1 :]])]
+    # Many texts that hold one passage and share no more, and copies in a chain whose ends are far apart.
+    passage = [f"p{i}" for i in range(60)]
+    texts += [" ".join([*passage, *(f"q{i}x{j}" for j in range(4 + i % 14))]) for i in range(120)]
+    texts += [" ".join(f"c{j}" for j in range(i * 6, i * 6 + 80)) for i in range(40)]
+    rng.shuffle(texts)
+    want, pairs = similar_components(texts)
+    assert len(pairs) > 300
+    rows = simhash.similar_groups(make_docs(texts)).collect()
+    root = {r.doc_id: r.root for r in rows}
+    assert [root[i] == root[j] for i in range(len(texts)) for j in range(i)] == [want[i] == want[j] for i in range(len(texts)) for j in range(i)]
+
+
 def test_near_copies_of_the_table(corpus):
     docs, texts = corpus
     want, pairs = similar_components([t for _, t in texts])
