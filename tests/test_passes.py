@@ -54,3 +54,27 @@ def test_many_short_pieces_join_as_one_by_one(spark):
     # The pieces are joined by marks, not by a list that is copied for each of them.
     plan = spark.createDataFrame([(text,)], "t string").select(sentences(F.col("t")))._jdf.queryExecution().analyzed().toString()
     assert "slice(" not in plan
+
+
+def test_documents_are_chosen_before_they_are_cut(spark):
+    """Only the documents that a side takes are cut into sentences; a join above the cutting would cut them all."""
+    from workload.inputs import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    for side in (t.pains, t.store):
+        plan = side._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        generate = next(i for i, line in enumerate(plan) if "Generate posexplode" in line)
+        join = next(i for i, line in enumerate(plan) if "LeftAnti" in line or "LeftSemi" in line)
+        assert generate < join
+
+
+def test_single_blanks_are_left_alone(spark):
+    from murmura import constants as K
+    from murmura.functions.text import normalize_text
+
+    rows = [" A  B\t\tc  d e ", "um dois tres", "a \n", "\t x", "fim... ja!!! ok. so!", "", None]
+    df = spark.createDataFrame([(x,) for x in rows], "t string")
+    got = [r[0] for r in df.select(normalize_text(F.col("t"))).collect()]
+    assert got == ["a b c d e", "um dois tres", "a", "x", "fim. ja! ok. so!", "", None]
+    changed = df.select(F.regexp_replace("t", K.UNEVEN_SPACE, "#")).collect()
+    assert changed[1][0] == "um dois tres" and changed[2][0] == "a#"
