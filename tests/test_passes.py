@@ -56,11 +56,16 @@ def test_many_short_pieces_join_as_one_by_one(spark):
     assert "slice(" not in plan
 
 
-def test_documents_are_chosen_before_they_are_cut(spark):
+def test_documents_are_chosen_before_they_are_cut(spark, tmp_path):
     """Only the documents that a side takes are cut into sentences; a join above the cutting would cut them all."""
     from workload.inputs import Tables
 
-    t = Tables(spark, "/root/testdata/sf0.001")
+    docs = [(i, f"Texto {i}. Outro.", "pt", "src1", 15) for i in range(6)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(4)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    t = Tables(spark, str(tmp_path))
+    assert {r.feedback_id for r in t.pains.collect()} == {"0", "2", "4", "5"} and t.store.count() == 2
     for side in (t.pains, t.store):
         plan = side._jdf.queryExecution().optimizedPlan().toString().splitlines()
         generate = next(i for i, line in enumerate(plan) if "Generate posexplode" in line)
@@ -78,3 +83,15 @@ def test_single_blanks_are_left_alone(spark):
     assert got == ["a b c d e", "um dois tres", "a", "x", "fim. ja! ok. so!", "", None]
     changed = df.select(F.regexp_replace("t", K.UNEVEN_SPACE, "#")).collect()
     assert changed[1][0] == "um dois tres" and changed[2][0] == "a#"
+
+
+def test_texts_are_normalised_once_below_tests_for_null(spark):
+    from murmura.operators import match as M
+
+    rows = [("Caiu  o App", "c", None, "p"), (None, "c", "f", "p")]
+    df = spark.createDataFrame(rows, "t string, categoria string, familia string, produto string")
+    normed = M.with_context(df, "t")
+    assert [(r.familia, r.text_norm) for r in normed.collect()] == [(M.K.UNKNOWN, "caiu o app"), ("f", None)]
+    kept = normed.filter(F.col(M.NORM).isNotNull()).select(*M.KEY).distinct()
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("translate(") == 1
+    assert kept.count() == 1
