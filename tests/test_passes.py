@@ -1,9 +1,15 @@
 """Costly expressions and inputs are worked out once."""
 
+import random
+
 import pandas as pd
 from pyspark.sql import functions as F
 
+from murmura.functions import similarity as S
+from murmura.functions.batch import edit_distances
 from murmura.functions.text import sentences
+from murmura.operators import canonical as C
+from murmura.operators import classify as CL
 from murmura.operators import lexicon as L
 from murmura.operators import validate as V
 
@@ -95,3 +101,49 @@ def test_texts_are_normalised_once_below_tests_for_null(spark):
     kept = normed.filter(F.col(M.NORM).isNotNull()).select(*M.KEY).distinct()
     assert kept._jdf.queryExecution().optimizedPlan().toString().count("translate(") == 1
     assert kept.count() == 1
+
+
+def test_edit_distances_of_a_batch(spark):
+    pick = random.Random(3)
+    texts = ["", "a", "ab" * 32, "ab" * 32 + "a", "aé漢😀" * 40]
+    texts += ["".join(pick.choice("abc d") for _ in range(pick.choice([3, 63, 64, 65, 128, 129, 200]))) for _ in range(30)]
+    pairs = [(a, b) for a in texts for b in texts]
+    want = spark.createDataFrame(pairs, "a string, b string").select("a", "b", F.levenshtein("a", "b").alias("n")).collect()
+    assert edit_distances([r.a for r in want], [r.b for r in want]).tolist() == [r.n for r in want]
+
+
+def test_medoid_compares_two_texts_once(spark):
+    """In Arrow batches and with the scores of the expression, which compares all ordered pairs and twice more."""
+    pick = random.Random(5)
+    words = ["app", "caiu", "pix", "lento", "não", "abre", "caiu"]
+    lists = [[" ".join(pick.choices(words, k=pick.randint(0, 40))) for _ in range(pick.randint(1, 8))] for _ in range(60)]
+    lists += [["um", None, "dois"], [None, "um"], ["um"], ["", "", " "]]
+    rows = spark.createDataFrame(
+        [(str(i), x[0], x[1:], None, None, None) for i, x in enumerate(lists)],
+        "id string, canonical_text string, variants array<string>, consolidation_count long, last_consolidation string, improvement_reason string",
+    )
+
+    def got(**options):
+        return C.consolidate_medoid(rows, "r", F.lit("2024-06-01"), gate=0.5, mean="mean", **options)
+
+    assert got().orderBy("id").collect() == got(sequence=lambda a, b: S.edit_score(a, b)).orderBy("id").collect()
+    assert "levenshtein" not in got()._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_words_of_a_pain_are_found_once_for_all_runs(spark):
+    texts = spark.createDataFrame([(1, "App caiu de novo"), (2, None), (3, "x")], "n int, t string")
+    lexicon = spark.createDataFrame([("A", "app"), ("B", "de novo"), ("B", "novo")], "label string, term string")
+    out = CL.classify(texts, "n", "t", lexicon, "l", max_words=3).orderBy("n")
+    assert [(r.l, r.l_alternatives) for r in out.collect()] == [("B", ["A"]), ("INCONCLUSIVO", []), ("INCONCLUSIVO", [])]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("translate(") == 1
+
+
+def test_an_empty_store_keys_no_text(spark):
+    from murmura.operators import match as M
+    from murmura.schemas import CANONICAL
+
+    pains = spark.createDataFrame([("1", "x", "f", "p", "app caiu")], "pain_id string, categoria string, familia string, produto string, dor_especifica string")
+    out = M.match_cascade(pains, spark.createDataFrame([], CANONICAL), sequence="edit")
+    assert out.columns == [*pains.columns, "canonical_id", "canonical_text", "similarity_score", "context_level"]
+    assert [tuple(r)[5:] for r in out.collect()] == [(None, None, None, None)]
+    assert "MapInArrow" not in out._jdf.queryExecution().optimizedPlan().toString()
