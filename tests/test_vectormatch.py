@@ -104,3 +104,11 @@ def test_each_text_is_embedded_once_and_joined_back(spark):
     made = missing.withColumn("embedding", F.array(F.lit(0.0), F.lit(1.0)))
     rows = E.with_vectors(texts, known.unionByName(made)).collect()
     assert sorted((r.text_norm, r.embedding) for r in rows) == [("a", [1.0, 0.0])] * 2 + [("b", [0.0, 1.0]), ("c", [0.0, 1.0])]
+
+
+def test_small_balls_share_a_bin(spark):
+    """A pain travels once for each cut of a bin; it went once for each ball before."""
+    ball = F.when(F.col("id") < 500, F.col("id") % 50).otherwise(50).cast("int")
+    inside = spark.range(20_500).select(F.lit("b").alias("block"), ball.alias("ball"), F.lit(0.1).alias("angle"), F.lit(1.0).alias("factor"))
+    rows = VM._binned(inside, spark.range(3000).select(F.lit("b").alias("block"))).collect()
+    assert len(rows) == 51 and {(r.bin, r.cuts) for r in rows} == {(0, 4)} and {r.parts for r in rows} == {3}
