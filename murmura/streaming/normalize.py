@@ -10,7 +10,7 @@ from murmura import constants as K
 from murmura.operators.learn import adapt_thresholds, session_stats, thresholds_dict
 from murmura.plans.normalize import normalize_batch
 from murmura.schemas import CANONICAL, THRESHOLDS
-from murmura.session import cut_lineage
+from murmura.session import settled
 from murmura.sources.store import SnapshotStore
 
 
@@ -45,7 +45,7 @@ class StreamState:
         batch = normalize_batch(
             pains, self.store.read(), f"batch_{version - 1}", day, order, thresholds=limits, **options
         )
-        normalized = cut_lineage(batch.normalized)
+        normalized = settled(batch.normalized)
         # Each version has its folders and overwrites them, so a batch that failed half way can run again.
         normalized.write.mode("overwrite").parquet(f"{self.root}/normalized/version={version}")
         state = self.spark.createDataFrame([tuple(limits[c] for c in THRESHOLDS.fieldNames())], THRESHOLDS)
