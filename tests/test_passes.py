@@ -147,3 +147,47 @@ def test_an_empty_store_keys_no_text(spark):
     assert out.columns == [*pains.columns, "canonical_id", "canonical_text", "similarity_score", "context_level"]
     assert [tuple(r)[5:] for r in out.collect()] == [(None, None, None, None)]
     assert "MapInArrow" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_medoid_of_long_lists(spark, monkeypatch):
+    """All variants take part, a bounded number of pairs at a time; the centre lies before the last five."""
+    from murmura.functions import batch
+
+    monkeypatch.setattr(batch, "PAIRS", 7)
+    texts = ["q w e", *["o app caiu de novo"] * 6, "xyz abc", "um dois tres", "nada a ver", "zebra", "outra coisa"]
+    means, firsts = batch.centrality([[*texts, None], ["um"], []])
+    assert [len(x) for x in means] == [len(texts) + 1, 1, 0] and round(firsts[1][0], 9) == 1 and firsts[0][-1] == 1
+    rows = spark.createDataFrame(
+        [("1", texts[0], texts[1:], None, None, None)],
+        "id string, canonical_text string, variants array<string>, consolidation_count long, last_consolidation string, improvement_reason string",
+    )
+
+    def got(**options):
+        return C.consolidate_medoid(rows, "r", F.lit("2024-06-01"), gate=0.0, mean="mean", **options).collect()
+
+    whole = got(read=None)
+    assert whole == got(read=None, sequence=lambda a, b: S.edit_score(a, b))
+    assert whole[0].canonical_text == "o app caiu de novo" and got()[0].canonical_text != "o app caiu de novo"
+
+
+def test_the_medoid_query_compares_all_sentences(spark, tmp_path):
+    from __spark_entry__ import queries
+
+    text = "O app caiu de novo. " * 5 + " ".join(f"Frase {'abcdef'[i] * 9} bem outra {'uvwxyz'[i] * 7}." for i in range(6))
+    spark.createDataFrame([(1, text)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries()["consolidate_medoid"](spark, str(tmp_path)).collect()
+    assert [(r.id, r.medoid) for r in got] == [("1", "o app caiu de novo")]
+
+
+def test_sequence_ratio_is_that_of_the_library(spark):
+    from difflib import SequenceMatcher
+
+    from murmura.functions.batch import sequence_ratio
+
+    pick = random.Random(11)
+    texts = ["", "a", "aaaa", "abab" * 30, "x" * 260 + "y", "caiu o app é 漢😀"]
+    texts += ["".join(pick.choices("ab " if i % 2 else "abcdefgh ", k=pick.randint(1, 260))) for i in range(60)]
+    texts += [t[: len(t) // 2] + "q" + t[len(t) // 3 :] for t in texts[-20:]]
+    for a in texts:
+        for b in texts[::3]:
+            assert sequence_ratio(a, b) == SequenceMatcher(None, a, b, autojunk=False).ratio()
